@@ -10,12 +10,13 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Fixed value: a ratio at or above this counts as the same name.
 NAME_MATCH_THRESHOLD = 0.6
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def name_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Similarity of two normalised names in [0, 1]; 0 when either is empty."""
     known: dict[tuple[str, str], float] = {}

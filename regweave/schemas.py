@@ -10,58 +10,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TEXT, _LONG, _DOUBLE, _FLAG = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
+_TEXTS, _LONGS = T.ArrayType(_TEXT), T.ArrayType(_LONG)
 
 
-RECORD = _struct(
-    "callsign string, first_name string, last_name string, city string, county string,"
-    " state string, postal_code string, country string, dxcc bigint, grid string,"
-    " license_class string, source string, synced_at string, allstar_nodes array<bigint>,"
-    " grant_date string, effective_date string, expired_date string, frn string,"
-    " entity_type string, applicant_type string, previous_callsign string,"
-    " uses_lotw boolean, lotw_last_activity string"
+def _table(names: str, **other: T.DataType) -> T.StructType:
+    """Columns in order; all are strings but for those named in ``other``."""
+    return T.StructType([T.StructField(n, other.get(n, _TEXT)) for n in names.split()])
+
+
+RECORD = _table(
+    "callsign first_name last_name city county state postal_code country dxcc grid license_class"
+    " source synced_at allstar_nodes grant_date effective_date expired_date frn entity_type"
+    " applicant_type previous_callsign uses_lotw lotw_last_activity",
+    dxcc=_LONG, allstar_nodes=_LONGS, uses_lotw=_FLAG,
 )
 
-HISTORY = _struct(
-    "callsign string, valid_from string, valid_to string, first_name string,"
-    " last_name string, city string, county string, state string, postal_code string,"
-    " country string, dxcc bigint, grid string, license_class string, source string,"
-    " synced_at string"
+HISTORY = _table(
+    "callsign valid_from valid_to first_name last_name city county state postal_code country"
+    " dxcc grid license_class source synced_at",
+    dxcc=_LONG,
 )
 
-PARK = _struct(
-    "reference string, name string, location_desc string, region string, country string,"
-    " dxcc bigint, grid string, lat double, lon double, active boolean, source string,"
-    " synced_at string"
+PARK = _table(
+    "reference name location_desc region country dxcc grid lat lon active source synced_at",
+    dxcc=_LONG, lat=_DOUBLE, lon=_DOUBLE, active=_FLAG,
 )
 
-PARK_GRID = _struct("reference string, grid string, source string, confidence string")
+PARK_GRID = _table("reference grid source confidence")
 
-SUMMIT = _struct(
-    "reference string, name string, association string, region string, alt_m bigint,"
-    " alt_ft bigint, grid string, lat double, lon double, points bigint,"
-    " bonus_points bigint, valid_from string, valid_to string, active boolean,"
-    " source string, synced_at string"
+SUMMIT = _table(
+    "reference name association region alt_m alt_ft grid lat lon points bonus_points valid_from"
+    " valid_to active source synced_at",
+    alt_m=_LONG, alt_ft=_LONG, points=_LONG, bonus_points=_LONG, lat=_DOUBLE, lon=_DOUBLE, active=_FLAG,
 )
 
 # One row per boundary feature.  `part` groups an outer ring with its holes.
-BOUNDARY = _struct(
-    "feature_id string, unit_name string, local_name string, tags map<string,string>,"
-    " rings array<struct<part:int,ring:array<struct<lon:double,lat:double>>>>"
+_VERTEX = T.StructType([T.StructField("lon", _DOUBLE), T.StructField("lat", _DOUBLE)])
+_RING = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("ring", T.ArrayType(_VERTEX))])
+BOUNDARY = _table(
+    "feature_id unit_name local_name tags rings", tags=T.MapType(_TEXT, _TEXT), rings=T.ArrayType(_RING)
 )
 
-REFLECTOR = _struct(
-    "id string, network string, name string, aliases array<string>, callsign string,"
-    " host string, port bigint, modules array<string>, country string, sponsor string,"
-    " description string, dashboard string, source string, synced_at string,"
-    " system string, requires array<string>, talkgroups_url string, talkgroups string,"
-    " talkgroup bigint, timeslot bigint, alias_source string, license string"
+REFLECTOR = _table(
+    "id network name aliases callsign host port modules country sponsor description dashboard source"
+    " synced_at system requires talkgroups_url talkgroups talkgroup timeslot alias_source license",
+    aliases=_TEXTS, modules=_TEXTS, requires=_TEXTS, port=_LONG, talkgroup=_LONG, timeslot=_LONG,
 )
 
-TALKGROUP = _struct("system string, tg bigint, name string, synced_at string")
+TALKGROUP = _table("system tg name synced_at", tg=_LONG)
 
-NODE = _struct("node string, callsign string, description string, location string")
+NODE = _table("node callsign description location")
 
 # A change in any of these opens a new interval and retires the surrogate id.
 IDENTITY_FIELDS = (

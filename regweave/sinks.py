@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regweave import schemas
 from regweave.operators.guards import require_only_source
@@ -40,10 +41,7 @@ def write_ledger(df: DataFrame, path: str) -> None:
 def read_ledger(spark, path: str, schema) -> DataFrame:
     """Prior ledger with schema drift tolerated both ways; ``id`` is always kept."""
     raw = spark.read.parquet(path)
-    fields = schemas._struct("id bigint")
-    for field in schema.fields:
-        fields = fields.add(field)
-    return schemas.conform(raw, fields)
+    return schemas.conform(raw, T.StructType([T.StructField("id", T.LongType()), *schema.fields]))
 
 
 def write_parks(df: DataFrame, path: str) -> None:

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from regweave.functions.text import byte_translate, fold_text
 from regweave.operators.guards import GateError
@@ -166,7 +165,7 @@ def file_date() -> Column:
     return F.date_format("_metadata.file_modification_time", "yyyy-MM-dd")
 
 
-def records(rows: DataFrame, source: str, synced_at: str | None, **values: Column) -> DataFrame:
+def records(rows: DataFrame, source: str, synced_at: str | None, /, **values: Column) -> DataFrame:
     """Project to the record schema plus ``_ord``."""
     from regweave.schemas import _DEFAULTS
 
@@ -194,6 +193,3 @@ class Register:
     tag: str
     read: Callable[[SparkSession, str, str | None], DataFrame]
 
-
-def struct_type(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
