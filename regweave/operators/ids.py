@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave.operators.history import same_identity
-from regweave.session import reliable_checkpoint
+from regweave.session import stored
 
 
 def high_water(*ledgers: DataFrame) -> int:
@@ -21,25 +21,24 @@ def number_rows(df: DataFrame, key: str, start: int, partitions: int | None = No
     """Gap-free ``id`` in key order, from ``start + 1``.
 
     A global ``row_number`` would run in one task.  The rows are range-partitioned on
-    the key and sorted, frozen in a reliable checkpoint (so positions survive a lost
-    executor), counted per partition, and numbered as partition offset plus position.
-    The driver holds one number per partition.
+    the key and sorted; each is stored together with its partition number and its
+    position there, so the numbering cannot change when an executor is lost and ranges
+    are sampled anew.  Ids are the offset of the partition plus the position.  The driver
+    holds one number per partition.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = reliable_checkpoint(df.repartitionByRange(n, key).sortWithinPartitions(key))
-    counts = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    sizes = {r["p"]: r["count"] for r in counts}
+    ranged = df.repartitionByRange(n, key).sortWithinPartitions(key)
+    # The low 33 bits of the monotonic id are the row's position in its partition.
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(ranged.select("*", F.spark_partition_id().alias("_part"), position.alias("_pos")))
+    sizes = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, total = [], start
-    for p in range(max(sizes, default=-1) + 1):
+    for p in range(max(sizes, default=0) + 1):
         offsets.append(total)
         total += sizes.get(p, 0)
-    if not offsets:
-        return ranged.withColumn("id", F.lit(None).cast("bigint"))
-    base = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.spark_partition_id() + 1)
-    # The low 33 bits of the monotonic id are the row's position in its partition.
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return ranged.withColumn("id", base + position + 1)
+    base = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col("_part") + 1)
+    return placed.withColumn("id", base + F.col("_pos") + 1).drop("_part", "_pos")
 
 
 def assign_ids(current: DataFrame, prior_current: DataFrame, prior_history: DataFrame | None = None) -> DataFrame:

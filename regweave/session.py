@@ -6,8 +6,8 @@ takes DataFrames.  ``local_session`` exists for tests and the benchmark.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,22 +39,30 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the cluster names in ``spark.checkpoint.dir``.
 
-    Partition contents are frozen on shared storage, so partition numbers and row
-    positions stay the same when an executor is lost.  A private folder is set only
-    when the session names none, which is the case in tests.
+    A private folder is used only when the session names none, which is the case in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="regweave-ckpt-", dir=os.environ.get("TMPDIR"))
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = named or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        named = tempfile.mkdtemp(prefix="regweave-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts the lineage, survives the loss of any executor, and lets every later branch
+    read only the columns it needs.  (``checkpoint()`` would compute the rows twice and
+    keep them row-wise.)
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/regweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -96,13 +96,27 @@ def cell(index: int) -> Column:
 
 
 def first_cells(rows: DataFrame) -> dict[str, list[str]]:
-    """First row of every file (header cells; one small row per file)."""
+    """First row of every file of an already split row table (one row per file)."""
     firsts = rows.groupBy(F.col("_ord.path").alias("p")).agg(F.min_by("cells", "_ord").alias("cells"))
     return {r["p"]: [c or "" for c in r["cells"]] for r in firsts.collect()}
 
 
+def file_heads(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """Header cells per file without scanning the files: each read stops at its first line."""
+    heads = {}
+    for name in spark.read.text(path).inputFiles():
+        first = quoted_cells(read_lines(spark, name, encoding).limit(1), sep).first()
+        if first is not None:
+            heads[first["_ord"]["path"]] = [c or "" for c in first["cells"]]
+    return heads
+
+
 def by_header(
-    rows: DataFrame, columns: dict[str, int | None], header_tokens: set[str] | None = None, required: list[str] | None = None
+    rows: DataFrame,
+    columns: dict[str, int | None],
+    header_tokens: set[str] | None = None,
+    required: list[str] | None = None,
+    heads: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Cells to named columns.
 
@@ -112,39 +126,27 @@ def by_header(
     Each file may have its own layout; files with one layout share one projection.
     """
     layouts: dict[tuple, list[str]] = {}
-    headed: list[str] = []
-    for path, head in first_cells(rows).items():
-        names = {h.lstrip("\ufeff").strip(): i for i, h in enumerate(head)}
+    path = F.col("_ord.path")
+    is_head = F.lit(False)
+    for name, head in (heads if heads is not None else first_cells(rows)).items():
+        found = {h.lstrip("\ufeff").strip().upper(): i for i, h in enumerate(head)}
         position = dict(columns)
         if header_tokens is None or head[0].strip().lower() in header_tokens:
-            headed.append(path)
-            upper = {k.upper(): v for k, v in names.items()}
-            if required:
-                missing = [c for c in required if c.upper() not in upper]
-                if missing:
-                    raise GateError(f"{path}: missing column(s) {', '.join(missing)}")
-            position = {c: upper.get(c.upper(), d) for c, d in columns.items()}
-        layouts.setdefault(tuple(position.items()), []).append(path)
-    if not layouts:
-        return rows.select(*[F.lit(None).cast("string").alias(c) for c in columns], "_ord")
-    path = F.col("_ord.path")
-    body = rows
-    if headed:
-        firsts = rows.groupBy(path.alias("_p")).agg(F.min("_ord").alias("_first")).filter(F.col("_p").isin(*headed))
-        heads = [r["_first"] for r in firsts.collect()]
-        is_head = F.lit(False)
-        for h in heads:
-            is_head = is_head | ((path == h["path"]) & (F.col("_ord.block") == h["block"]) & (F.col("_ord.row") == h["row"]))
-        body = rows.filter(~is_head)
+            missing = [c for c in required or [] if c.upper() not in found]
+            if missing:
+                raise GateError(f"{name}: missing column(s) {', '.join(missing)}")
+            position = {c: found.get(c.upper(), d) for c, d in columns.items()}
+            is_head = is_head | ((path == name) & (F.col("cells") == F.array(*[F.lit(h) for h in head])))
+        layouts.setdefault(tuple(position.items()), []).append(name)
     out = []
-    for name in columns:
+    for column in columns:
         value = F.lit(None).cast("string")
         for layout, paths in layouts.items():
-            index = dict(layout)[name]
+            index = dict(layout)[column]
             here = cell(index) if index is not None else F.lit(None).cast("string")
             value = here if len(layouts) == 1 else F.when(path.isin(*paths), here).otherwise(value)
-        out.append(value.alias(name))
-    return body.select(*out, "_ord")
+        out.append(value.alias(column))
+    return rows.filter(~is_head).select(*out, "_ord")
 
 
 def folded_positions(header: list[str], wanted: dict[str, str]) -> dict[str, int]:

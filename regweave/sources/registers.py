@@ -163,7 +163,7 @@ def au_records(device: DataFrame, licence: DataFrame, client: DataFrame, types:
 
 def _au_file(spark: SparkSession, path: str, layout: dict[str, int]) -> DataFrame:
     rows = base.quoted_cells(base.read_lines(spark, path, "ISO-8859-1"), ",")
-    return base.by_header(rows, layout, header_tokens=AU_TOKENS)
+    return base.by_header(rows, layout, header_tokens=AU_TOKENS, heads=base.file_heads(spark, path, ",", "ISO-8859-1"))
 
 
 def read_au(spark: SparkSession, path: str, synced_at: str | None = None, granted_only: bool = True,
@@ -256,7 +256,8 @@ def br_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
 def read_br(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
     """Semicolon CSV with a byte-order mark."""
     rows = base.quoted_cells(base.read_lines(spark, path), ";")
-    return br_records(base.by_header(rows, dict.fromkeys(BR_COLUMNS), required=BR_COLUMNS), synced_at)
+    heads = base.file_heads(spark, path, ";")
+    return br_records(base.by_header(rows, dict.fromkeys(BR_COLUMNS), required=BR_COLUMNS, heads=heads), synced_at)
 
 
 # --- Norway --------------------------------------------------------------------------------
@@ -330,7 +331,9 @@ def read_pl(spark: SparkSession, path: str, synced_at: str | None = None) -> Dat
     columns = dict.fromkeys(PL_REQUIRED + PL_OPTIONAL)
     for number, (name, kind) in enumerate(PL_LISTS.items()):
         rows = base.quoted_cells(base.read_lines_guessing(spark, f"{path}/{name}", "cp1250"), ";")
-        named = base.by_header(rows, columns, required=PL_REQUIRED)
+        # Header names are ASCII, so the code page does not matter for them.
+        heads = base.file_heads(spark, f"{path}/{name}", ";", "ISO-8859-1")
+        named = base.by_header(rows, columns, required=PL_REQUIRED, heads=heads)
         # List order comes first in the row order.
         order = F.struct(F.lit(f"{number}").alias("path"), F.col("_ord.block").alias("block"), F.col("_ord.row").alias("row"))
         parts.append(named.withColumn("_ord", order).withColumn("holder_type", F.lit(kind)))

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from regweave import schemas
 from regweave.operators.history import fold_snapshot
-from regweave.session import reliable_checkpoint
+from regweave.session import stored
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
@@ -50,7 +50,7 @@ def fold_batch(root: str):
         for i, day in enumerate(days):
             history = fold_snapshot(history, batch.filter(F.col("as_of") == day).drop("as_of"), day)
             if i % 8 == 7:  # keep the plan of a long catch-up short
-                history = reliable_checkpoint(history)
+                history = stored(history)
         history.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
 
     return run
