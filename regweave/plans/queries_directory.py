@@ -201,8 +201,8 @@ def network_doc(t: Tables) -> DataFrame:
 SELECT 1::BIGINT AS section, network || '/' || id AS sort_key, CASE WHEN row_number() OVER (ORDER BY network, id) = 1 THEN '' ELSE ',' END || json AS line FROM js
 UNION ALL SELECT 2, '', ']}}'
 UNION ALL SELECT 0, '', '{{"api_version":"v1","attribution":"' || (SELECT string_agg(s, '\\n' ORDER BY o) FROM (
-    SELECT s, min(o) AS o FROM (SELECT network || i AS o, unnest(['XLX registry', 'Shared']) AS s, unnest([0, 1]) AS i FROM (SELECT DISTINCT network FROM d))
-    WHERE s = 'Shared' OR o LIKE 'dstar%' GROUP BY s)) || '","client_refresh_days":7,"count":' || (SELECT count(*) FROM d)
+    SELECT s, min(network || i) AS o FROM (SELECT network, unnest(['XLX registry', 'Shared']) AS s, unnest([0, 1]) AS i FROM (SELECT DISTINCT network FROM d))
+    WHERE s = 'Shared' OR network = 'dstar' GROUP BY s)) || '","client_refresh_days":7,"count":' || (SELECT count(*) FROM d)
   || ',"generated":"' || (SELECT max(synced_at) FROM d) || '","license":"{_MIXED}","license_url":"u","networks":{{'
   || (SELECT string_agg('"' || network || '":' || n, ',' ORDER BY network) FROM (SELECT network, count(*) AS n FROM d GROUP BY 1))
   || '}},"rights":"r","schema_version":1,"sources":[{{"name":"DIR","url":"https://example.org/"}}],"reflectors":['""")

@@ -53,9 +53,8 @@ def registry_records(chunks: DataFrame, now_epoch: int, synced_at: str | None =
 
 def _directory(rows: DataFrame) -> DataFrame:
     """Fixed schema plus ``_ord``, e-mails removed, licence set."""
-    clean = sanitise(rows)
-    ordered = StructType([*REFLECTOR.fields, StructField("_ord", clean.schema["_ord"].dataType)])
-    return conform(clean, ordered)
+    ordered = StructType([*REFLECTOR.fields, StructField("_ord", rows.schema["_ord"].dataType)])
+    return sanitise(conform(rows, ordered))
 
 
 def read_registry(spark: SparkSession, path: str, now_epoch: int, synced_at: str | None = None) -> DataFrame:
