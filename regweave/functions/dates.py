@@ -3,10 +3,12 @@ documented fallback, never an error, under ANSI mode too."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regweave.functions.text import fold_key, squeeze, strip
+from regweave.functions.text import fold_key, strip
 
 # --- fixed values: month names as the registers write them ------------------------
 SPANISH_MONTHS = {"ene": 1, "feb": 2, "mar": 3, "abr": 4, "may": 5, "jun": 6, "jul": 7,
@@ -21,20 +23,28 @@ def literal_map(table: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
 
 
-def iso_from_parts(year: Column, month: Column, day: Column) -> Column:
-    """``yyyy-MM-dd`` when the three numbers are a real date, else null."""
-    text = F.concat_ws(
-        "-",
-        F.lpad(year.cast("string"), 4, "0"),
-        F.lpad(month.cast("string"), 2, "0"),
-        F.lpad(day.cast("string"), 2, "0"),
-    )
-    valid = year.isNotNull() & month.isNotNull() & day.isNotNull()
-    return F.when(valid, F.try_to_date(text, "yyyy-MM-dd").cast("string"))
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _parsed(text: Column, shape: str, layout: str) -> Column:
+    """ISO text of a value that has the shape and is a real date, else null.
+
+    The shape test keeps the lenient digit counts of the date parser out.
+    """
+    return F.when(text.rlike(shape), F.try_to_date(text, layout).cast("string"))
+
+
+def _from_parts(text: Column, shape: str, months: dict[str, int]) -> Column:
+    """Day, month name and year in that order, found by ``shape``, to ISO or null."""
 
+    def build(t: Column) -> Column:
+        day, name, year = (F.regexp_extract(t, shape, i) for i in (1, 2, 3))
+        month = F.try_element_at(literal_map(months), F.lower(name)).cast("string")
+        return F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-"), day), "yyyy-M-d").cast("string")
 
-def _parts(col: Column, pattern: str) -> tuple[Column, Column, Column]:
-    return tuple(F.nullif(F.regexp_extract(col, pattern, i), F.lit("")) for i in (1, 2, 3))
+    return bind(text, build)
 
 
 def us_date_or_same(col: Column) -> Column:
@@ -53,38 +63,29 @@ def us_date_or_same(col: Column) -> Column:
 
 def slash_date(col: Column) -> Column:
     """Strict ``dd/mm/yyyy`` to ISO, else null."""
-    day, month, year = _parts(squeeze(col), r"^(\d{1,2})/(\d{1,2})/(\d{4})$")
-    return iso_from_parts(year, month, day)
+    return _parsed(strip(col), r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy")
 
 
 def dotted_date(col: Column) -> Column:
     """Strict ``dd.mm.yyyy`` to ISO, else null."""
-    day, month, year = _parts(col, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$")
-    return iso_from_parts(year, month, day)
+    return _parsed(col, r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy")
 
 
 def slash_date_or_same(col: Column) -> Column:
     """``dd/mm/yyyy`` to ISO; blank gives null, anything else the trimmed text."""
     raw = F.nullif(strip(col), F.lit(""))
-    return F.coalesce(slash_date(raw), raw)
+    return F.coalesce(slash_date(col), raw)
 
 
 def spanish_month_date(col: Column) -> Column:
     """``30 Abr. 2029`` to ISO, else null."""
-    key = fold_key(col)
-    pattern = r"^(\d{1,2})\s+([a-z]{3})[a-z]*\.?\s+(\d{4})$"
-    day, name, year = _parts(key, pattern)
-    month = F.try_element_at(literal_map(SPANISH_MONTHS), name)
-    return iso_from_parts(year, month, day)
+    return _from_parts(fold_key(col), r"^(\d{1,2})\s+([a-z]{3})[a-z]*\.?\s+(\d{4})$", SPANISH_MONTHS)
 
 
 def german_edition_date(col: Column) -> Column:
     """The edition date in ``... vom 23. Oktober 2026 ...`` as ISO, else null."""
-    pattern = r"(?U)\bvom\s+(\d{1,2})\.\s*([A-Za-zäÄ]+)\s+(\d{4})\b"
-    day, name, year = _parts(col, pattern)
     months = {n: i for i, n in enumerate(GERMAN_MONTHS, start=1)}
-    month = F.try_element_at(literal_map(months), F.lower(name))
-    return iso_from_parts(year, month, day)
+    return _from_parts(col, r"(?U)\bvom\s+(\d{1,2})\.\s*([A-Za-zäÄ]+)\s+(\d{4})\b", months)
 
 
 def dotted_edition_date(col: Column) -> Column:

@@ -94,9 +94,26 @@ def title_case(col: Column) -> Column:
     return F.when(shouted, F.array_join(F.transform(words(col), one), " ")).otherwise(col)
 
 
+# The same matches without trying every start inside a word: a local part begins where no
+# local-part character stands before it, or where the last match ended.
+_LOCAL = "[A-Za-z0-9._%+-]"
+_EMAIL_FAST = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++" + EMAIL_PATTERN.removeprefix(f"{_LOCAL}+")
+
+
 def redact_emails(col: Column) -> Column:
-    """Replace e-mail addresses with a marker so that the sentence stays readable."""
-    return F.regexp_replace(col, EMAIL_PATTERN, EMAIL_PLACEHOLDER)
+    """Replace e-mail addresses with a marker so that the sentence stays readable.
+
+    Texts without an at sign, nearly all of them, skip the expression.
+    """
+    return F.when(
+        F.contains(col, F.lit("@")), F.regexp_replace(col, _EMAIL_FAST, EMAIL_PLACEHOLDER)
+    ).otherwise(col)
+
+
+def count_emails(col: Column) -> Column:
+    """Number of addresses `redact_emails` replaces."""
+    found = F.size(F.regexp_extract_all(col, F.lit(_EMAIL_FAST), F.lit(0)))
+    return F.when(F.contains(col, F.lit("@")), found).when(col.isNotNull(), 0).cast("bigint")
 
 
 def _fold_tables() -> tuple[str, str]:

@@ -19,6 +19,7 @@ from regweave.plans.inputs import (
     EMPTY_HISTORY_SQL, MERGED_SQL, call_of, customer_state, fold_sql, iso_day, iso_time, registers, state_sql,
 )
 from regweave.schemas import HISTORY
+from regweave.session import stored
 from regweave.sources.base import records, table_order
 from regweave.sources.registers import au_records, us_records
 
@@ -350,10 +351,11 @@ THREE_SQL = ",".join([TWO_SQL, state_sql("s3", CUT3), fold_sql("h3", "h2", "s3",
 
 
 def _history(t: Tables, *cuts: str) -> DataFrame:
+    """Folded snapshots; like in a real build, each fold but the last is a stored table."""
     history = t.spark.createDataFrame([], HISTORY)
-    for cut in cuts:
-        history = fold_snapshot(history, customer_state(t, cut), cut)
-    return history
+    for cut in cuts[:-1]:
+        history = stored(fold_snapshot(history, customer_state(t, cut), cut))
+    return fold_snapshot(history, customer_state(t, cuts[-1]), cuts[-1])
 
 
 @query("scd2_fold", f"WITH {TWO_SQL} SELECT {HSQL} FROM h2")
@@ -439,7 +441,7 @@ i2 AS (SELECT old_id AS id, callsign, license_class FROM m WHERE old_id IS NOT N
 
 def _two_ids(t: Tables) -> tuple[DataFrame, DataFrame]:
     none = t.spark.createDataFrame([], "id bigint, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in customer_state(t, CUT1).schema))
-    first = assign_ids(customer_state(t, CUT1), none)
+    first = stored(assign_ids(customer_state(t, CUT1), none))
     return first, assign_ids(customer_state(t, CUT2), first)
 
 
@@ -456,7 +458,7 @@ FROM h2 h LEFT JOIN ph ON ph.callsign = h.callsign AND ph.valid_from = h.valid_f
 def interval_ids_query(t: Tables) -> DataFrame:
     """Id of every history row."""
     first, second = _two_ids(t)
-    h1 = _history(t, CUT1)
+    h1 = stored(_history(t, CUT1))
     prior = h1.join(first.select("id", "callsign"), "callsign")
     h2 = fold_snapshot(h1, customer_state(t, CUT2), CUT2)
     return interval_ids(h2, second, prior).select("callsign", "valid_from", "valid_to", "id")

@@ -19,7 +19,7 @@ from regweave.functions.labels import (
 from regweave.functions.numbers import to_double, to_whole
 from regweave.functions.similarity import name_ratio
 from regweave.functions.text import (
-    EMAIL_PATTERN, EMAIL_PLACEHOLDER, boundary_name, decode_numeric_entities, redact_emails, split_eastern_name,
+    EMAIL_PATTERN, EMAIL_PLACEHOLDER, boundary_name, count_emails, decode_numeric_entities, redact_emails, split_eastern_name,
     split_western_name, title_case, town_only,
 )
 from regweave.operators.assemble import join_lines, number_islands
@@ -225,7 +225,7 @@ def email_redact(t: Tables) -> DataFrame:
     """E-mail addresses replaced in whole texts."""
     return t.documents.select(
         "doc_id", F.md5(redact_emails(F.col("text"))).alias("digest"),
-        F.size(F.regexp_extract_all("text", F.lit(EMAIL_PATTERN), F.lit(0))).cast("bigint").alias("n"),
+        count_emails(F.col("text")).alias("n"),
     )
 
 

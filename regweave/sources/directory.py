@@ -121,15 +121,22 @@ def envelope_rows(payloads: DataFrame, column: str, row_type: str, keys: tuple[s
     """
     inner = ",".join(f"{k}:array<{row_type}>" for k in keys)
     text = F.col(column)
-    nested = F.from_json(text, f"struct<data:struct<{inner}>,{inner}>")
-    as_array = F.from_json(text, f"struct<data:array<{row_type}>>")
-    bare = F.from_json(text, f"array<{row_type}>")
+    keep = [c for c in payloads.columns if c != column]
     is_array = F.substring(F.ltrim(text), 1, 1) == "["
+    data_is_array = text.rlike(r'"data"\s*:\s*\[')
+    # Each text is parsed once, with the schema its shape asks for; the structs are
+    # columns of their own so that the field accesses below do not parse again.
+    parsed = payloads.select(
+        *keep,
+        F.when(is_array, F.from_json(text, f"array<{row_type}>")).alias("_bare"),
+        F.when(~is_array & ~data_is_array, F.from_json(text, f"struct<data:struct<{inner}>,{inner}>")).alias("_nested"),
+        F.when(~is_array & data_is_array, F.from_json(text, f"struct<data:array<{row_type}>,{inner}>")).alias("_listed"),
+    )
     found = F.coalesce(
-        F.when(is_array, bare),
-        *[nested["data"][k] for k in keys], as_array["data"], *[nested[k] for k in keys],
+        "_bare", *[F.col("_nested")["data"][k] for k in keys], F.col("_listed")["data"],
+        *[F.col("_nested")[k] for k in keys], *[F.col("_listed")[k] for k in keys],
     )
-    return payloads.select(*[c for c in payloads.columns if c != column], F.posexplode(found).alias("pos", "row"))
+    return parsed.select(*keep, F.posexplode(found).alias("pos", "row"))
 
 
 def network_records(payloads: DataFrame, network: str, synced_at: str | None = None) -> DataFrame:

@@ -166,7 +166,7 @@ def shapes():
     rng = random.Random(11)
     feats = []
     for i in range(25):
-        cx, cy, r = rng.uniform(-150, 150), rng.uniform(-70, 70), rng.choice([0.3, 2, 9, 25])
+        cx, cy, r = rng.uniform(-110, 110), rng.uniform(-60, 60), rng.choice([0.3, 2, 9, 25])
         rings = [(0, star(rng, cx, cy, r, 90 if i % 5 == 0 else 9))]
         if i % 3 == 0:
             rings.append((0, [(cx - r / 9, cy - r / 9), (cx + r / 9, cy - r / 9), (cx, cy + r / 9)]))
