@@ -66,7 +66,10 @@ def attach_aliases(records: DataFrame, names: DataFrame) -> DataFrame:
         lambda a: F.upper(a),
     )
     added = F.array_except(F.coalesce("_names", F.array().cast("array<string>")), own)
-    joined = records.join(lists, records["host"] == F.col("_host"), "left").withColumn("_new", added)
+    # Rows without an address get a key of their own, so that they do not pile up in one
+    # shuffle partition.
+    key = F.coalesce(records["host"], F.concat(F.lit("\x00"), records["id"]))
+    joined = records.join(lists, key == F.col("_host"), "left").withColumn("_new", added)
     return (
         joined.withColumn("aliases", F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.col("_new")))
         .withColumn("alias_source", F.when(F.size("_new") > 0, F.lit(ALIAS_SOURCE)).otherwise(F.col("alias_source")))
@@ -93,11 +96,17 @@ def drop_shadowing_aliases(records: DataFrame) -> DataFrame:
     return joined.withColumn("aliases", kept).select(*records.columns)
 
 
+def systems_with_servers(records: DataFrame) -> DataFrame:
+    """Distinct systems that have a server row."""
+    return records.filter("system <> ''").select("system").distinct()
+
+
 def link_mirrors(servers: DataFrame, mirrored: DataFrame) -> DataFrame:
     """Set the mirror path on server rows whose system has a mirrored list."""
     systems = mirrored.select(F.col("system").alias("_s")).distinct()
+    key = F.coalesce(servers["system"], F.concat(F.lit("\x00"), servers["id"]))
     path = F.concat(F.lit("reflectors/dmr/"), F.col("system"), F.lit("/talkgroups.json"))
-    return servers.join(systems, servers["system"] == F.col("_s"), "left").withColumn(
+    return servers.join(systems, key == F.col("_s"), "left").withColumn(
         "talkgroups", F.when(F.col("_s").isNotNull(), path).otherwise(F.col("talkgroups"))
     ).select(*servers.columns)
 

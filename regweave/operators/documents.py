@@ -25,6 +25,7 @@ MIXED_LICENSE = "mixed — see per-row license and NOTICE"
 # -------------------------------------------------------------------------------------
 
 HEAD, BODY, TAIL = 0, 1, 2
+_ONE = "document"  # group column of documents that exist once
 
 
 def _open(head_struct: Column, list_name: str) -> Column:
@@ -34,8 +35,11 @@ def _open(head_struct: Column, list_name: str) -> Column:
 
 def _lines(heads: DataFrame, entries: DataFrame, group: str) -> DataFrame:
     """Head, entry and tail lines.  The first entry has no leading comma."""
-    first = entries.groupBy(group).agg(F.min("sort_key").alias("_min"))
-    body = entries.join(first, group).select(
+    if group == _ONE:  # a single document: its first key is a scalar subquery, not a join
+        keyed = entries.withColumn("_min", entries.agg(F.min("sort_key")).scalar())
+    else:
+        keyed = entries.join(entries.groupBy(group).agg(F.min("sort_key").alias("_min")), group)
+    body = keyed.select(
         group, F.lit(BODY).alias("section"), "sort_key",
         F.concat(F.when(F.col("sort_key") == F.col("_min"), "").otherwise(","), F.col("json")).alias("line"),
     )
@@ -158,9 +162,9 @@ def manifest(records: DataFrame, today: str, talkgroups: DataFrame | None = None
     ``talkgroups`` has system, tg, synced_at, fetched.
     """
     per_net = network_summary(records.withColumn("license", row_license(F.col("source"))))
-    whole = per_net.agg(F.sum("count").alias("total"), F.max("generated").alias("newest")).withColumn("_one", F.lit(1))
     out = (
-        per_net.withColumn("_one", F.lit(1)).join(whole, "_one").drop("_one")
+        per_net.withColumn("total", per_net.agg(F.sum("count")).scalar())
+        .withColumn("newest", per_net.agg(F.max("generated")).scalar())
         .withColumn("license", F.when(F.col("all_cc_by"), LICENSE).otherwise(MIXED_LICENSE))
         .withColumn("newest", F.coalesce("newest", F.lit(today)))
         .withColumn("expires_hint", F.date_add(F.to_date("newest"), CLIENT_REFRESH_DAYS).cast("string"))
@@ -211,5 +215,25 @@ def rows_from_documents(lines: DataFrame) -> DataFrame:
     return conform(out, REFLECTOR)
 
 
+def talkgroups_from_documents(lines: DataFrame) -> DataFrame:
+    """Entry lines of talkgroup documents (with ``system`` and ``generated``) to rows."""
+    from regweave.schemas import TALKGROUP, conform
+
+    stamp = F.col("generated") if "generated" in lines.columns else F.lit(None).cast("string")
+    body = lines.filter(F.col("section") == BODY).select(
+        "system", stamp.alias("synced_at"), F.from_json(F.regexp_replace("line", "^,", ""), "tg bigint, name string").alias("e")
+    )
+    return conform(body.select("system", "e.*", "synced_at").filter("tg is not null and system <> ''"), TALKGROUP)
+
+
+def node_document_dates(previous: DataFrame, fresh: DataFrame, generated: str, fetched: str, today: str) -> tuple[str, str]:
+    """Dates of a new node document: the old ones when no node row differs."""
+    from regweave.operators.guards import changed_groups
+
+    columns = ["callsign", "description", "location"]
+    same = changed_groups(previous, fresh, "node", columns).isEmpty()
+    return (generated, fetched) if same else (today, today)
+
+
 __all__ = ["CC_BY", "network_document", "combined_document", "talkgroup_document", "node_document", "manifest",
            "manifest_talkgroups", "rows_from_documents", "network_summary"]

@@ -87,12 +87,14 @@ def fill_grid(records: DataFrame, postal: DataFrame, city: DataFrame) -> DataFra
         _norm(F.col("country")).alias("_cc"), _norm(F.col("state")).alias("_cs"),
         _norm(F.col("city")).alias("_ck"), grid4(F.col("lat"), F.col("lon")).alias("_cgrid"),
     )
-    # Keys are null where nothing is looked up, so rows without one skip the join.
+    # Rows with nothing to look up get a key of their own that matches nothing: a null key
+    # would send all of them to one shuffle partition.
     needs = F.col("grid").isNull()
+    nothing = F.concat(F.lit("\x00"), F.coalesce("callsign", F.lit("")))
     keyed = (
         records.withColumn("_home", home)
-        .withColumn("_post", F.when(needs & (F.col("postal_code") != ""), postal_key(F.col("_home"), F.col("postal_code"))))
-        .withColumn("_city", F.when(needs & (F.col("city") != ""), _norm(F.col("city"))))
+        .withColumn("_post", F.when(needs & (F.col("postal_code") != ""), postal_key(F.col("_home"), F.col("postal_code"))).otherwise(nothing))
+        .withColumn("_city", F.when(needs & (F.col("city") != ""), _norm(F.col("city"))).otherwise(nothing))
         .withColumn("_state", _norm(F.col("state")))
     )
     joined = keyed.join(

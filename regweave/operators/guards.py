@@ -141,9 +141,9 @@ def fold_fetches(results: DataFrame, state: DataFrame, today: str) -> DataFrame:
     ``results`` has seq, system, status (ok, failed, empty, throttled).  From the first
     throttled fetch on, nothing counts; failed and empty fetches keep the old date.
     """
-    stop = results.filter("status = 'throttled'").agg(F.min("seq").alias("_stop")).withColumn("_one", F.lit(1))
+    stop = results.filter("status = 'throttled'").agg(F.min("seq")).scalar()
     counted = (
-        results.withColumn("_one", F.lit(1)).join(stop, "_one")
+        results.withColumn("_stop", stop)
         .filter("(_stop is null or seq < _stop) and status = 'ok'")
         .select("system").distinct().withColumn("_new", F.lit(today))
     )
@@ -154,11 +154,9 @@ def network_gate(records: DataFrame, expected: DataFrame | None = None, floor: i
     """One row: total, missing networks, and whether the directory may be published."""
     spark = records.sparkSession
     wanted = expected if expected is not None else spark.createDataFrame([(n,) for n in EXPECTED_NETWORKS], "network string")
-    missing = wanted.join(records.select("network").distinct(), "network", "left_anti").agg(
-        F.count(F.lit(1)).alias("missing")
-    ).withColumn("_one", F.lit(1))
-    total = records.agg(F.count(F.lit(1)).alias("total")).withColumn("_one", F.lit(1))
-    return total.join(missing, "_one").select(
+    absent = wanted.join(records.select("network").distinct(), "network", "left_anti")
+    total = records.agg(F.count(F.lit(1)).alias("total"))
+    return total.withColumn("missing", absent.agg(F.count(F.lit(1))).scalar()).select(
         "total", "missing", ((F.col("missing") == 0) & (F.col("total") >= floor)).alias("publish")
     )
 

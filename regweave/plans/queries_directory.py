@@ -9,7 +9,7 @@ from regweave.functions.labels import row_license, wire_name
 from regweave.operators.dedupe import merge_by_priority
 from regweave.operators.directory import (
     attach_aliases, drop_shadowing_aliases, drop_stale, entry, link_mirrors, relabel, sanitise, search,
-    shadowed_aliases, without_known_hosts,
+    shadowed_aliases, systems_with_servers, without_known_hosts,
 )
 from regweave.operators.documents import (
     combined_document, manifest, manifest_talkgroups, network_document, node_document, rows_from_documents,
@@ -281,6 +281,12 @@ def license_filter(t: Tables) -> DataFrame:
     return directory(t).filter("license = 'CC-BY-4.0'").select("id", "network")
 
 
+@query("systems_with_servers", f"WITH {DIR_SQL} SELECT DISTINCT system FROM j WHERE system IS NOT NULL")
+def systems_with_servers_query(t: Tables) -> DataFrame:
+    """Systems worth a refetch."""
+    return systems_with_servers(directory(t))
+
+
 @query("text_search", f"""WITH {DIR_SQL} SELECT id FROM j WHERE contains(lower(id), 'ref001') OR contains(lower(coalesce(name, '')), 'bolt')
   OR contains(lower(country), 'bolt') OR contains(lower(coalesce(description, '')), 'bolt')""")
 def text_search(t: Tables) -> DataFrame:

@@ -9,7 +9,7 @@ from regweave.functions.grid import grid4, grid6
 from regweave.operators.dedupe import first_per_key, last_per_key, latest_expiry, one_holder, top_per_key
 from regweave.operators.enrich import attach_activity, attach_nodes, fill_grid, number_pages
 from regweave.operators.history import (
-    attribute_as_of, fold_snapshot, generalise_postal, overlapping_intervals, withhold_unvetted,
+    attribute_as_of, fold_snapshot, generalise_postal, history_order, overlapping_intervals, withhold_unvetted,
 )
 from regweave.operators.ids import assign_ids, interval_ids, node_child_table
 from regweave.operators.normalize import merge_registers, scrub_counters
@@ -361,7 +361,7 @@ def _history(t: Tables, *cuts: str) -> DataFrame:
 @query("scd2_fold", f"WITH {TWO_SQL} SELECT {HSQL} FROM h2")
 def scd2_fold(t: Tables) -> DataFrame:
     """Two snapshots folded into interval history."""
-    return _history(t, CUT1, CUT2).select(*HCOLS)
+    return _history(t, CUT1, CUT2).select(*HCOLS).orderBy(*history_order())
 
 
 @query("scd2_three", f"WITH {THREE_SQL} SELECT {HSQL} FROM h3")

@@ -38,6 +38,18 @@ def write_ledger(df: DataFrame, path: str) -> None:
     write_sorted(df, path, ["id"])
 
 
+def latest_artifact(spark, pattern: str) -> str | None:
+    """Path of the newest dated folder or file matching ``pattern``, by name.
+
+    Only the file listing is read.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    names = sorted(s.getPath().toString() for s in found) if found else []
+    return names[-1] if names else None
+
+
 def read_ledger(spark, path: str, schema) -> DataFrame:
     """Prior ledger with schema drift tolerated both ways; ``id`` is always kept."""
     raw = spark.read.parquet(path)
