@@ -26,9 +26,8 @@ def number_rows(df: DataFrame, key: str, start: int, partitions: int | None = No
     are sampled anew.  Ids are the offset of the partition plus the position.  The driver
     holds one number per partition.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, key).sortWithinPartitions(key)
+    ranged = df.repartitionByRange(partitions, key) if partitions else df.repartitionByRange(key)
+    ranged = ranged.sortWithinPartitions(key)
     # The low 33 bits of the monotonic id are the row's position in its partition.
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = stored(ranged.select("*", F.spark_partition_id().alias("_part"), position.alias("_pos")))

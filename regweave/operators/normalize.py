@@ -53,9 +53,10 @@ def merge_registers(streams: list[DataFrame], observation=None) -> DataFrame:
     raw = union_all([s.withColumn("_stream", F.lit(i)) for i, s in enumerate(streams)])
     if observation is not None:
         raw = raw.observe(observation, *scrub_counters())
-    clean = normalize(raw).filter(F.col("callsign").isNotNull())
-    order = F.struct(precedence_rank(F.col("source")), F.col("_stream"), F.col("_ord"))
-    return first_per_key(clean, ["callsign"], order, drop=("_ord", "_stream"))
+    # Only the key decides the merge, so the costly clean-up runs on the winners.
+    keyed = raw.withColumn("callsign", F.upper(blank_to_null(F.col("callsign")))).filter("callsign is not null")
+    order = F.struct(precedence_rank(blank_to_null(F.col("source"))), F.col("_stream"), F.col("_ord"))
+    return normalize(first_per_key(keyed, ["callsign"], order, drop=("_ord", "_stream")))
 
 
 def keyless(df: DataFrame) -> DataFrame:

@@ -300,8 +300,7 @@ def stale_filter(t: Tables) -> DataFrame:
     """Rows not heard of for 30 days leave; unknown last contact stays."""
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     rows = t.events.select("event_id", seconds.alias("s"), F.when(F.col("event_type") != "view", seconds).alias("last"))
-    newest = rows.agg(F.max("s")).first()[0]  # one number
-    return drop_stale(rows, "last", newest + 10 * 86400).select("event_id")
+    return drop_stale(rows, "last", rows.agg(F.max("s")).scalar() + 10 * 86400).select("event_id")
 
 
 # --- guards: two half-months of events as previous and fresh build ------------------------------

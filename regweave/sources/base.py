@@ -78,12 +78,14 @@ def quoted_cells(lines: DataFrame, sep: str) -> DataFrame:
 
     Works on a line table, so that the reader's split and order columns are kept.
     """
-    token = rf'(?:^|{sep})("(?:[^"]|"")*"|[^{sep}]*)'
-    raw = F.regexp_extract_all("value", F.lit(token), F.lit(1))
+    # A separator in front makes every cell one non-empty match, the first one too.
+    token = rf'{sep}("(?:[^"]++|"")*+"[^{sep}]*+|[^{sep}]*+)'
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), F.col("value")), F.lit(token), F.lit(1))
+    quoted = r'^"((?:[^"]++|"")*+)"(.*)$'
 
     def clean(cell: Column) -> Column:
-        inner = F.replace(F.substring(cell, 2, F.length(cell) - 2), F.lit('""'), F.lit('"'))
-        return F.when(cell.rlike('^".*"$') & (F.length(cell) >= 2), inner).otherwise(cell)
+        inner = F.replace(F.regexp_extract(cell, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(cell.rlike(quoted), F.concat(inner, F.regexp_extract(cell, quoted, 2))).otherwise(cell)
 
     return lines.select(F.transform(raw, lambda c: clean(c)).alias("cells"), "_ord")
 

@@ -511,18 +511,17 @@ def read_hu(spark: SparkSession, path: str, synced_at: str | None = None) -> Dat
         ),
     )
     rows = chunks.filter(F.col("value").contains("<Row")).select(place_by_index(cells).alias("cells"), "_ord")
-    first = base.first_cells(rows)
+    first = rows.limit(1).collect()  # stops at the first row
     if not first:
         raise GateError(f"{path}: empty worksheet")
-    header = [h.casefold() for h in next(iter(first.values()))]
+    header = [h.casefold() for h in first[0]["cells"]]
     position = {}
     for name, label in HU_HEADERS.items():
         hits = [i for i, h in enumerate(header) if label in h]
         if not hits:
             raise GateError(f"{path}: no {label!r} column in {header}")
         position[name] = hits[0]
-    start = rows.agg(F.min("_ord").alias("o")).first()["o"]
-    body = rows.filter(F.col("_ord") > _order_literal(start)).select(*[cell(i).alias(n) for n, i in position.items()], "_ord")
+    body = rows.filter(F.col("_ord") > _order_literal(first[0]["_ord"])).select(*[cell(i).alias(n) for n, i in position.items()], "_ord")
     return hu_records(body, synced_at)
 
 

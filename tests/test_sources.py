@@ -323,3 +323,9 @@ def test_order_survives_small_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"line {i}" for i in range(3000)]
+
+
+def test_quoted_cells(spark):
+    lines = spark.createDataFrame([(',a,"b, ""c""",', 0), ('"x";y', 1), ("", 2)], "value string, k long").withColumn("_ord", base.table_order("k"))
+    got = [r.cells for r in base.quoted_cells(lines, ",").orderBy("_ord").collect()]
+    assert got == [["", "a", 'b, "c"', ""], ["x;y"], [""]]
