@@ -15,12 +15,13 @@ PAGE = 4096
 def number_pages(pairs: DataFrame, key: str, number: str, page: int = PAGE) -> DataFrame:
     """Sorted distinct numbers per key, cut into value-range pages.
 
-    Distinct runs first with map-side combine.  A page holds at most ``page`` numbers
-    by construction, whatever share of the rows one key has.
+    A page holds at most ``page`` distinct numbers by construction, whatever share of the
+    rows one key has, and the sets are built on the map side before the shuffle.
     """
-    distinct = pairs.select(F.col(key), F.col(number).cast("bigint").alias("_n")).distinct()
-    return distinct.groupBy(key, F.floor(F.col("_n") / page).cast("bigint").alias("page")).agg(
-        F.sort_array(F.collect_list("_n")).alias("numbers")
+    n = F.col(number).cast("bigint")
+    start = n - F.pmod(n, F.lit(page).cast("bigint"))  # whole numbers all the way: no rounding
+    return pairs.groupBy(F.col(key), F.call_function("div", start, F.lit(page)).alias("page")).agg(
+        F.sort_array(F.collect_set(n)).alias("numbers")
     )
 
 
@@ -35,31 +36,37 @@ def number_lists(pairs: DataFrame, key: str, number: str) -> DataFrame:
     return pages.groupBy(key).agg(joined.alias("numbers"))
 
 
-def attach_nodes(records: DataFrame, nodes: DataFrame) -> DataFrame:
+def _key(records: DataFrame, clean_keys: bool) -> Column:
+    return records.callsign if clean_keys else F.upper(records.callsign)
+
+
+def attach_nodes(records: DataFrame, nodes: DataFrame, clean_keys: bool = False) -> DataFrame:
     """Attach the node list of each callsign; none gives an empty list.
 
-    ``nodes`` has ``callsign`` (upper case) and ``node``.
+    ``nodes`` has ``callsign`` (upper case) and ``node``.  With ``clean_keys`` the records
+    are upper case already and keep their partitioning by callsign.
     """
     lists = number_lists(nodes.select("callsign", "node"), "callsign", "node").select(
         F.col("callsign").alias("_call"), F.col("numbers").alias("_nodes")
     )
-    joined = records.join(lists, F.upper(records.callsign) == F.col("_call"), "left")
+    joined = records.join(lists, _key(records, clean_keys) == F.col("_call"), "left")
     return joined.withColumn(
         "allstar_nodes", F.coalesce("_nodes", F.array().cast("array<bigint>"))
     ).select(*records.columns)
 
 
 def latest_activity(activity: DataFrame) -> DataFrame:
-    """Latest date per callsign."""
-    return activity.groupBy("callsign").agg(F.max("day").alias("day"))
+    """Latest date per callsign.  Dates are compared as dates: a fixed-width maximum is
+    kept in a hash aggregate, a text one would sort."""
+    return activity.groupBy("callsign").agg(F.max(F.try_to_date("day", "yyyy-MM-dd")).cast("string").alias("day"))
 
 
-def attach_activity(records: DataFrame, activity: DataFrame) -> DataFrame:
+def attach_activity(records: DataFrame, activity: DataFrame, clean_keys: bool = False) -> DataFrame:
     """Set the activity flag and the last activity date."""
     latest = latest_activity(activity).select(
         F.col("callsign").alias("_call"), F.col("day").alias("_day")
     )
-    joined = records.join(latest, F.upper(records.callsign) == F.col("_call"), "left")
+    joined = records.join(latest, _key(records, clean_keys) == F.col("_call"), "left")
     return (
         joined.withColumn("uses_lotw", F.col("_day").isNotNull())
         .withColumn("lotw_last_activity", F.col("_day"))

@@ -16,13 +16,18 @@ NAME_FIELDS = ("first_name", "last_name", "city", "county")
 GUARDED_FIELDS = ("first_name", "last_name", "city")
 
 
-def normalize(df: DataFrame) -> DataFrame:
+def normalize(df: DataFrame, clean_key: bool = False) -> DataFrame:
     """Trim strings, blank to null, upper-case the key, proper-case names and null
-    address-shaped names and towns.  One projection, idempotent."""
+    address-shaped names and towns.  One projection, idempotent.
+
+    ``clean_key`` leaves an already clean key column as it is, which keeps the rows'
+    partitioning by it.
+    """
     out: list[Column] = []
     for field in df.schema.fields:
         value = F.col(field.name)
-        if isinstance(field.dataType, T.StringType) and not field.name.startswith("_"):
+        cleaned = clean_key and field.name == "callsign"
+        if isinstance(field.dataType, T.StringType) and not field.name.startswith("_") and not cleaned:
             raw, value = value, blank_to_null(value)
             if field.name == "callsign":
                 value = F.upper(value)
@@ -56,7 +61,7 @@ def merge_registers(streams: list[DataFrame], observation=None) -> DataFrame:
     # Only the key decides the merge, so the costly clean-up runs on the winners.
     keyed = raw.withColumn("callsign", F.upper(blank_to_null(F.col("callsign")))).filter("callsign is not null")
     order = F.struct(precedence_rank(blank_to_null(F.col("source"))), F.col("_stream"), F.col("_ord"))
-    return normalize(first_per_key(keyed, ["callsign"], order, drop=("_ord", "_stream")))
+    return normalize(first_per_key(keyed, ["callsign"], order, drop=("_ord", "_stream")), clean_key=True)
 
 
 def keyless(df: DataFrame) -> DataFrame:

@@ -21,14 +21,19 @@ def _shape_ok(call: Column, key: Column) -> Column:
     return (key != SHAPED_PREFIX) | fits
 
 
-def resolve_entities(calls: DataFrame, call: str, table: DataFrame) -> DataFrame:
+def resolve_entities(calls: DataFrame, call: str, table: DataFrame, clean_keys: bool = False) -> DataFrame:
     """``(call, entity, number)`` for every distinct call that matches ``table``.
 
+    With ``clean_keys`` the calls are unique, trimmed and upper case, as after a merge.
+
     ``table`` has ``key, is_exact, entity, number`` with unique ``(key, is_exact)``.
     An exact entry wins over any prefix, then the longest prefix wins.
     """
     lengths = [r[0] for r in table.select(F.length("key")).distinct().collect()]  # few values
-    one = calls.select(F.upper(F.trim(F.col(call))).alias("call")).filter("call <> ''").distinct()
+    if clean_keys:
+        one = calls.select(F.col(call).alias("call"))
+    else:
+        one = calls.select(F.upper(F.trim(F.col(call))).alias("call")).filter("call <> ''").distinct()
     wanted = F.array_compact(
         F.array(
             *[
@@ -46,13 +51,12 @@ def resolve_entities(calls: DataFrame, call: str, table: DataFrame) -> DataFrame
     return hits.groupBy("call").agg(best.alias("_hit")).select("call", "_hit.*")
 
 
-def apply_entities(records: DataFrame, table: DataFrame) -> DataFrame:
+def apply_entities(records: DataFrame, table: DataFrame, clean_keys: bool = False) -> DataFrame:
     """Fill country and entity number.  No hit keeps the old values; a hit overwrites
     both, the number even with null."""
-    found = resolve_entities(records, "callsign", table).withColumn("_matched", F.lit(True))
-    joined = records.withColumn("_call", F.upper(F.trim("callsign"))).join(
-        found, F.col("_call") == F.col("call"), "left"
-    )
+    found = resolve_entities(records, "callsign", table, clean_keys).withColumn("_matched", F.lit(True))
+    key = records["callsign"] if clean_keys else F.upper(F.trim(records["callsign"]))
+    joined = records.join(found, key == F.col("call"), "left")
     hit = F.col("_matched").isNotNull()
     return (
         joined.withColumn("country", F.when(hit, F.col("entity")).otherwise(F.col("country")))

@@ -86,16 +86,20 @@ class Built:
 
 
 def build_current(streams: list[DataFrame], lookups: Lookups) -> DataFrame:
-    """Merge, grid fill (before entities, on purpose), entities, nodes, activity."""
+    """Merge, grid fill (before entities, on purpose), entities, nodes, activity.
+
+    The merge leaves its rows partitioned by callsign and every later join is on that
+    column, so the records are shuffled once.
+    """
     out = merge_registers(streams)
     if lookups.postal is not None and lookups.city is not None:
         out = fill_grid(out, lookups.postal, lookups.city)
     if lookups.entities is not None:
-        out = apply_entities(out, lookups.entities)
+        out = apply_entities(out, lookups.entities, clean_keys=True)
     if lookups.nodes is not None:
-        out = attach_nodes(out, lookups.nodes)
+        out = attach_nodes(out, lookups.nodes, clean_keys=True)
     if lookups.activity is not None:
-        out = attach_activity(out, lookups.activity)
+        out = attach_activity(out, lookups.activity, clean_keys=True)
     return schemas.conform(out, schemas.RECORD)
 
 

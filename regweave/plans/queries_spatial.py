@@ -12,14 +12,17 @@ from regweave.operators.spatial import (
 from regweave.plans.catalog import Tables, query
 from regweave.session import stored
 
-# Outer box (x0, y0, w, h) with a hole in its middle, and a second part, a 1 x 1 box east
-# of it.  All numbers are multiples of 1/8, so both engines compute the same floats.
+# Outer box (x0, y0, w, h) with a hole in its middle, and a second part, a small box east
+# of it.  All numbers are short binary fractions, so both engines compute the same floats.
+# Eight boundaries share a name, and boundaries get small beyond the first thousand, so
+# that the overlap per place does not grow with the tables.
 FEATURE_SQL = """
-feat AS (SELECT s_suppkey AS f, s_nationkey AS nk, ((s_suppkey * 37) % 300 - 170)::DOUBLE + 0.25 AS x0, ((s_suppkey * 53) % 150 - 85)::DOUBLE + 0.5 AS y0,
-  (1 << (s_suppkey % 4 + 2)::INT)::DOUBLE AS w, (1 << (s_suppkey % 3 + 1)::INT)::DOUBLE AS h FROM supplier),
+feat AS (SELECT s_suppkey AS f, s_suppkey // 8 AS nk, CASE WHEN s_suppkey < 1000 THEN 1.0::DOUBLE ELSE 0.0625::DOUBLE END AS s,
+  ((s_suppkey * 37) % 300 - 170)::DOUBLE + 0.25 + (s_suppkey // 300 % 512)::DOUBLE / 1024 AS x0, ((s_suppkey * 53) % 150 - 85)::DOUBLE + 0.5 AS y0 FROM supplier),
+size_ AS (SELECT *, s * pow(2, f % 4 + 2) AS w, s * pow(2, f % 3 + 1) AS h FROM feat),
 box AS (SELECT *, x0 + w AS x1, y0 + h AS y1, x0 + w / 4 AS hx0, x0 + 3 * w / 4 AS hx1, y0 + h / 4 AS hy0, y0 + 3 * h / 4 AS hy1,
-  x0 + w + 1 AS ex0, x0 + w + 2 AS ex1, y0 AS ey0, y0 + 1 AS ey1, x0 AS bx0, x0 + w + 2 AS bx1, y0 AS by0,
-  greatest(y0 + h, y0 + 1) AS by1 FROM feat)"""
+  x0 + w + s AS ex0, x0 + w + 2 * s AS ex1, y0 AS ey0, y0 + s AS ey1, x0 AS bx0, x0 + w + 2 * s AS bx1, y0 AS by0,
+  greatest(y0 + h, y0 + s) AS by1 FROM size_)"""
 INSIDE_SQL = """((px BETWEEN x0 AND x1 AND py BETWEEN y0 AND y1 AND NOT (px > hx0 AND px < hx1 AND py > hy0 AND py < hy1))
    OR (px BETWEEN ex0 AND ex1 AND py BETWEEN ey0 AND ey1))"""
 CELLS_SQL = """
@@ -40,16 +43,17 @@ def _ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def features(t: Tables) -> DataFrame:
     """Supplier boundaries with a hole and a second part."""
     k = F.col("s_suppkey")
-    x0 = ((k * 37) % 300 - 170).cast("double") + 0.25
+    x0 = ((k * 37) % 300 - 170).cast("double") + 0.25 + (F.floor(k / 300) % 512).cast("double") / 1024
     y0 = ((k * 53) % 150 - 85).cast("double") + 0.5
-    w, h = F.pow(F.lit(2.0), k % 4 + 2), F.pow(F.lit(2.0), k % 3 + 1)
+    s = F.when(k < 1000, 1.0).otherwise(0.0625)
+    w, h = s * F.pow(F.lit(2.0), k % 4 + 2), s * F.pow(F.lit(2.0), k % 3 + 1)
     part = lambda n, ring: F.struct(F.lit(n).alias("part"), ring.alias("ring"))
     rings = F.array(
         part(0, _ring(x0, y0, x0 + w, y0 + h)), part(0, _ring(x0 + w / 4, y0 + h / 4, x0 + w * 3 / 4, y0 + h * 3 / 4)),
-        part(1, _ring(x0 + w + 1, y0, x0 + w + 2, y0 + 1)),
+        part(1, _ring(x0 + w + s, y0, x0 + w + s * 2, y0 + s)),
     )
     layer = t.supplier.select(
-        F.format_string("%09d", k).alias("feature_id"), F.concat(F.lit("Nation "), "s_nationkey", F.lit(" NF")).alias("unit_name"),
+        F.format_string("%09d", k).alias("feature_id"), F.concat(F.lit("Range "), F.floor(k / 8), F.lit(" NF")).alias("unit_name"),
         F.when(k % 2 == 0, F.col("s_name")).alias("local_name"),
         F.create_map(F.lit("boundary"), F.when(k % 3 == 0, "protected_area").otherwise("administrative")).alias("tags"), rings.alias("rings"),
     )
@@ -60,17 +64,16 @@ def features(t: Tables) -> DataFrame:
 def places(t: Tables) -> DataFrame:
     """Customer places on a 1/8 degree raster; half of them named like a boundary."""
     k = F.col("c_custkey")
-    name = F.when(k % 2 == 0, F.concat(F.lit("Nation "), "c_nationkey", F.lit(" National Forest"))).otherwise(F.lit("qqqq"))
+    name = F.when(k % 2 == 0, F.concat(F.lit("Range "), "c_nationkey", F.lit(" National Forest"))).otherwise(F.lit("qqqq"))
     return t.customer.select(
         F.concat(F.when(k % 5 == 0, "CA-").otherwise("US-"), k).alias("reference"), name.alias("name"),
         F.when(k % 5 == 0, "CA").otherwise("US").alias("country"),
         F.when(k % 97 != 0, ((k * 29) % 1280).cast("double") / 8 - 80.0).alias("lat"),
-        F.when(k % 97 != 0, ((k * 131) % 2720).cast("double") / 8 - 170.0).alias("lon"), F.col("c_nationkey").alias("nk"),
-    )
+        F.when(k % 97 != 0, ((k * 131) % 2720).cast("double") / 8 - 170.0).alias("lon"),     )
 
 
 PLACE_SQL = """
-place AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN 'CA-' ELSE 'US-' END || c_custkey AS reference, c_custkey % 2 = 0 AS named, c_nationkey AS nk,
+place AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN 'CA-' ELSE 'US-' END || c_custkey AS reference, c_custkey % 2 = 0 AS named,
   c_custkey % 5 <> 0 AS us, CASE WHEN c_custkey % 97 <> 0 THEN ((c_custkey * 29) % 1280)::DOUBLE / 8 - 80 END AS py,
   CASE WHEN c_custkey % 97 <> 0 THEN ((c_custkey * 131) % 2720)::DOUBLE / 8 - 170 END AS px FROM customer)"""
 
@@ -99,7 +102,7 @@ def cell_coverage(t: Tables) -> DataFrame:
 
 
 @query("smallest_area", f"""WITH {FEATURE_SQL}, {PLACE_SQL},
-a AS (SELECT *, w * h - (w / 2) * (h / 2) + 1 AS area FROM box)
+a AS (SELECT *, w * h - (w / 2) * (h / 2) + s * s AS area FROM box)
 SELECT reference, lpad(f::VARCHAR, 9, '0') AS feature_id, area FROM (
   SELECT reference, f, area, row_number() OVER (PARTITION BY reference ORDER BY area, f) AS rn FROM place JOIN a ON {INSIDE_SQL}) WHERE rn = 1""")
 def smallest_area(t: Tables) -> DataFrame:
@@ -108,20 +111,20 @@ def smallest_area(t: Tables) -> DataFrame:
     return smallest_feature(points_in_features(places(t), "reference", shapes), "reference", shapes)
 
 
-@query("feature_areas", f"""WITH {FEATURE_SQL} SELECT lpad(f::VARCHAR, 9, '0') AS feature_id, w * h - (w / 2) * (h / 2) + 1 AS area FROM box""")
+@query("feature_areas", f"""WITH {FEATURE_SQL} SELECT lpad(f::VARCHAR, 9, '0') AS feature_id, w * h - (w / 2) * (h / 2) + s * s AS area FROM box""")
 def feature_areas(t: Tables) -> DataFrame:
     """Shoelace area, holes subtracted."""
     return features(t).select("feature_id", "area")
 
 
 _MATCH_SQL = f"""
-inside AS (SELECT reference, named, place.us, f, box.nk, w, h, bx0, bx1, by0, by1 FROM place JOIN box ON {INSIDE_SQL}),
+inside AS (SELECT reference, named, place.us, f, box.nk, w, h, s, bx0, bx1, by0, by1 FROM place JOIN box ON {INSIDE_SQL}),
 names AS (SELECT DISTINCT reference, nk FROM inside WHERE named),
 -- A matched boundary's second name pulls in nothing else: supplier names are unique.
 ubox AS (SELECT reference, min(bx0) AS bx0, max(bx1) AS bx1, min(by0) AS by0, max(by1) AS by1 FROM names JOIN box USING (nk) GROUP BY 1),
 high AS (SELECT DISTINCT reference, c, r, 'high' AS confidence FROM names JOIN cover USING (nk) JOIN ubox USING (reference)
          WHERE {BOX_SQL.format('ubox.')}),
-best AS (SELECT reference, f FROM (SELECT *, row_number() OVER (PARTITION BY reference ORDER BY w * h - (w / 2) * (h / 2) + 1, f) AS rn
+best AS (SELECT reference, f FROM (SELECT *, row_number() OVER (PARTITION BY reference ORDER BY w * h - (w / 2) * (h / 2) + s * s, f) AS rn
          FROM inside WHERE NOT named) WHERE rn = 1),
 medium AS (SELECT reference, c, r, 'medium' AS confidence FROM best JOIN cover USING (f) WHERE {BOX_SQL.format('')}),
 matched AS (SELECT * FROM high UNION ALL SELECT * FROM medium)"""

@@ -18,6 +18,15 @@ def write_sorted(df: DataFrame, path: str, keys: list, partitions: int | None =
     ranged.sortWithinPartitions(*keys).write.mode("errorifexists").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "callsign") -> None:
+    """Catalog table bucketed and sorted on its key.
+
+    Two tables with the same buckets (the open history and the current records, or the
+    id ledger) are joined on the key without shuffling either side.
+    """
+    df.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
 def write_current(records: DataFrame, path: str, partitions: int | None = None) -> None:
     """Current records in the fixed schema and order."""
     write_sorted(schemas.conform(records, schemas.RECORD), path, ["callsign"], partitions)
