@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave.operators.history import same_identity
+from regweave.schemas import IDENTITY_FIELDS
 from regweave.session import stored
 
 
@@ -47,15 +48,20 @@ def assign_ids(current: DataFrame, prior_current: DataFrame, prior_history: Data
     holders get ids above the high-water mark of both ledgers, in callsign order.
     """
     mark = high_water(prior_current, *([prior_history] if prior_history is not None else []))
-    matched = current.alias("c").join(
-        prior_current.alias("p"), F.col("c.callsign") == F.col("p.callsign"), "left"
+    # Only (callsign, old id) is stored and range-partitioned; the records meet their ids
+    # in one join at the end.
+    pairs = current.select("callsign", *IDENTITY_FIELDS).alias("c").join(
+        prior_current.select("id", "callsign", *IDENTITY_FIELDS).alias("p"), F.col("c.callsign") == F.col("p.callsign"), "left"
     )
-    tagged = matched.select(
-        F.when(F.col("p.id").isNotNull() & same_identity("p", "c"), F.col("p.id")).alias("_id"), "c.*"
+    matched = stored(
+        pairs.select(
+            F.col("c.callsign").alias("callsign"),
+            F.when(F.col("p.id").isNotNull() & same_identity("p", "c"), F.col("p.id")).cast("bigint").alias("id"),
+        )
     )
-    kept = tagged.filter("_id is not null").withColumnRenamed("_id", "id")
-    new = number_rows(tagged.filter("_id is null").drop("_id"), "callsign", mark)
-    return kept.unionByName(new.select("id", *current.columns))
+    kept = matched.filter("id is not null")
+    new = number_rows(matched.filter("id is null").select("callsign"), "callsign", mark)
+    return current.join(kept.unionByName(new), "callsign").select("id", *current.columns)
 
 
 def interval_ids(history: DataFrame, current_ids: DataFrame, prior_history: DataFrame) -> DataFrame:
