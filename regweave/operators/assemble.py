@@ -43,6 +43,26 @@ def number_islands(lines: DataFrame, doc: str, line_no: str, is_start: Column, o
     )
 
 
+def previous_value(rows: DataFrame, keys: list[str], position: str, value: str, out: str,
+                   block_rows: int = BLOCK_LINES) -> DataFrame:
+    """The value of the row before, in ``position`` order within ``keys``.
+
+    Like `number_islands`, long groups are cut into blocks: the lag is taken inside a
+    block, and the first row of a block gets the last value of the blocks before it.
+    """
+    marked = rows.withColumn("_block", F.floor(F.col(position) / block_rows))
+    local = Window.partitionBy(*keys, "_block").orderBy(position)
+    ends = marked.groupBy(*keys, "_block").agg(F.max_by(value, position).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_block", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    return (
+        marked.withColumn("_lag", F.lag(value).over(local))
+        .join(carried, [*keys, "_block"])
+        .withColumn(out, F.coalesce("_lag", "_carried"))
+        .drop("_block", "_lag", "_carried")
+    )
+
+
 def join_lines(lines: DataFrame, keys: list[str], line_no: str, text: str) -> DataFrame:
     """Text of each island: lines in order, joined by a space, except that a line that
     ends in a hyphen continues the word.  An entry is a handful of lines."""
@@ -109,10 +129,8 @@ def callbook_entries(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = first.join(joined, ["doc", "entry_no"]).withColumn("rejected", ~ok).withColumn(
         "entry_text", repair_controls(F.col("entry_text"))
     )
-    by_list = Window.partitionBy("doc", "list_no").orderBy("line_no")
-    disorder = (
-        entries.filter("not rejected").withColumn("_prev", F.lag("callsign").over(by_list))
-        .filter("callsign < _prev")
-        .select("doc", "line_no", F.col("callsign").alias("text"), F.lit("out of order").alias("problem"))
+    accepted = entries.filter("not rejected").select("doc", "list_no", "entry_no", "line_no", "callsign")
+    disorder = previous_value(accepted, ["doc", "list_no"], "entry_no", "callsign", "_prev").filter("callsign < _prev").select(
+        "doc", "line_no", F.col("callsign").alias("text"), F.lit("out of order").alias("problem")
     )
     return entries, stray.unionByName(disorder)

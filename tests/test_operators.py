@@ -260,6 +260,23 @@ def test_park_grids(spark):
     assert {r.reference for r in seg.collect()} == {"CA-1"}
 
 
+def test_islands_and_previous_value_by_blocks(spark):
+    from regweave.operators.assemble import number_islands, previous_value
+
+    rng = random.Random(2)
+    data = [("hot" if i % 3 else "d", i, rng.random() < 0.2, rng.randrange(100)) for i in range(2000)]
+    df = spark.createDataFrame(data, "doc string, n int, s boolean, v int")
+    got = {r.n: r.island for r in number_islands(df, "doc", "n", F.col("s"), block_lines=7).collect()}
+    prev = {r.n: r.p for r in previous_value(df, ["doc"], "n", "v", "p", block_rows=5).collect()}
+    for doc in ("hot", "d"):
+        count, last = 0, None
+        for d, n, s, v in data:
+            if d == doc:
+                count += s
+                assert got[n] == count and prev[n] == last
+                last = v
+
+
 # --- directory --------------------------------------------------------------------------------
 
 
