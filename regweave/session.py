@@ -50,8 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     if named is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        named = tempfile.mkdtemp(prefix="regweave-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="regweave-"))
+        named = context.getCheckpointDir()
     return named
 
 
