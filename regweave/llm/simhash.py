@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regweave.llm.batches import batch_of, slices
+from regweave.llm.batches import slices
 from regweave.llm.catalog import query
 from regweave.llm.components import components
 from regweave.session import stored
@@ -48,15 +48,19 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
     """``id`` and ``fp`` (the 64 bits as a signed long) of every row; null and empty texts have fingerprint 0."""
-    docs = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
+    return with_fingerprint(docs.select(F.col(id), F.col(text).cast("string").alias("_text")), "fp", "_text", words, seed).drop("_text")
+
+
+def with_fingerprint(docs: DataFrame, column: str, text: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with the fingerprint in ``column``, which replaces one of that name."""
+    docs = docs.drop(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "_text"):
-            schema = pa.schema([("_id", part.schema.field("_id").type), ("fp", pa.int64())])
+        for part, texts in slices(batches, text):
             prints = np.array([fingerprint(t, words, seed) for t in texts], np.uint64).astype(np.int64)
-            yield batch_of(schema, part.column("_id"), prints)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints)], names=[*part.schema.names, column])
 
-    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, fp bigint").withColumnRenamed("_id", id)
+    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{column}` bigint"]))
 
 
 def _signed(bits: int) -> int:
@@ -126,7 +130,7 @@ def _stars(many: DataFrame, kinds: list[tuple[int, int | None]], k: int) -> Data
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 2, words: int = 3) -> DataFrame:
-    """``id``, ``fp`` and ``component`` (smallest id reachable over links of up to ``k`` bits) of every row.
+    """``id``, ``fp``, ``root`` and ``component`` of every row: the smallest ``fp`` and id reachable over links of up to ``k`` bits.
 
     Equal fingerprints are one class, whatever their number.  Null and empty texts have fingerprint 0 and are
     linked like any other; a null id is never the smallest unless all are null; repeated rows are kept; other
@@ -137,7 +141,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     roots = components(links(nodes.select("fp"), k))
     labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     classes = labelled.groupBy("root").agg(F.min("_least").alias("component"))
-    return rows.join(labelled.select("fp", "root"), "fp").join(classes, "root").select(id, "fp", "component")
+    return rows.join(labelled.select("fp", "root"), "fp").join(classes, "root").select(id, "fp", "root", "component")
 
 
 @query("op1_simhash")
