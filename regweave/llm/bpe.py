@@ -14,6 +14,7 @@ shared token at each end of the window glues the three chains together.
 from __future__ import annotations
 
 import os
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from regweave.session import stored
 #: Characters of a piece from which on it is cut, and of the parts that it is cut into.
 LEAF = 4096
 #: Pieces that a worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 ENCODED = "ids binary, decoded string"
 
@@ -75,8 +76,8 @@ class Words:
     to nothing.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED, decoded: bool = True) -> None:
-        self.tok, self.most, self.decoded = load(path), remembered, decoded
+    def __init__(self, path: str, remembered: int = REMEMBERED, decoded: bool = True, leaf: int = LEAF) -> None:
+        self.tok, self.most, self.decoded, self.leaf = load(path), remembered, decoded, leaf
         self._forget()
 
     def _forget(self) -> None:
@@ -90,23 +91,30 @@ class Words:
         number = self.numbers.__getitem__
         rows = [list(map(number, t.split())) for t in texts]
         new, self.numbers.new = self.numbers.new, []
-        for at in range(0, len(new), 2000):
-            self._learn([w.decode() for w in new[at : at + 2000]])
+        for at in range(0, len(new), 20_000):
+            self._learn([w.decode() for w in new[at : at + 20_000]])
         ids, out = self.ids.__getitem__, self.texts.__getitem__
         return [(b"".join(map(ids, r)), "".join(map(out, r))[:-1] if self.decoded else "") for r in rows]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces in one call, with spaces between; offsets tell them apart."""
-        e = self.tok.encode(" ".join(pieces), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(x) + 1 for x in pieces)])
-        offsets = e.offsets
-        edges = np.searchsorted(np.fromiter((o[0] for o in offsets), np.int64, len(offsets)), starts).tolist()
-        flat = pack(e.ids)
-        self.ids += [flat[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
+        if max(map(len, pieces)) > self.leaf:
+            ids = [encode_piece(self.tok, p, self.leaf)[:, 0].tolist() for p in pieces]
+        else:
+            ids = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        flat, at = pack([i for x in ids for i in x]), 0
+        for x in ids:
+            self.ids.append(flat[at : at + 4 * len(x)])
+            at += 4 * len(x)
         if self.decoded:
-            ids = e.ids
-            texts = self.tok.decode_batch([ids[a:b] for a, b in zip(edges, edges[1:])], skip_special_tokens=False)
-            self.texts += [t + " " if b > a else "" for t, a, b in zip(texts, edges, edges[1:])]
+            self.texts += [t + " " if x else "" for t, x in zip(self.tok.decode_batch(ids, skip_special_tokens=False), ids)]
+
+
+def worker_words(path: str, decoded: bool = True, leaf: int = LEAF) -> Words:
+    """The memory of this Python worker: Spark reuses workers, so later tasks find it filled."""
+    held = sys.__dict__.setdefault("_regweave_words", {})
+    if (path, decoded, leaf) not in held:
+        held[path, decoded, leaf] = Words(path, decoded=decoded, leaf=leaf)
+    return held[path, decoded, leaf]
 
 
 # Tree concatenation
@@ -201,6 +209,12 @@ def join_tree(tok, text: str, parts: list[np.ndarray], bounds: list[int]) -> np.
     return parts[0]
 
 
+def encode_piece(tok, text: str, leaf: int = LEAF) -> np.ndarray:
+    """Tree concatenation of one piece in one task."""
+    bounds = [0, *cuts(text, special_texts(tok), leaf), len(text)]
+    return join_tree(tok, text, [encode_part(tok, text, a, b) for a, b in zip(bounds, bounds[1:])], bounds)
+
+
 def special_texts(tok) -> list[str]:
     """Contents of the added tokens."""
     return [t.content for t in tok.get_added_tokens_decoder().values()]
@@ -213,19 +227,18 @@ def _long_pieces(text: bytes, leaf: int) -> bool:
     return len(text) > leaf and max(map(len, text.split()), default=0) > leaf
 
 
-def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", leaf: int = LEAF, decoded: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
     """Ids and decoded text of every whole text: columns ``id``, ``ids`` (little-endian uint32), ``decoded``.
 
     Null and empty texts give no ids and an empty text; rows that repeat are kept; null ids stay null; other
-    columns are not read, whatever their names.  An empty table gives an empty table.  Without ``decoded`` that
-    column is empty.
+    columns are not read, whatever their names.  An empty table gives an empty table.
     """
     path = path or default_tokenizer()
     docs = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, schema = Words(path, decoded=decoded), None
+        words, schema = worker_words(path, True, leaf), None
         for part, texts in slices(batches, "_text"):
             schema = schema or pa.schema([("_id", part.schema.field("_id").type), ("ids", pa.binary()), ("decoded", pa.string())])
             keep = [i for i, t in enumerate(texts) if not _long_pieces(t, leaf)]

@@ -20,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regweave.llm.batches import batch_of
-from regweave.llm.bpe import encode
+from regweave.llm.batches import batch_of, slices
+from regweave.llm.bpe import default_tokenizer, worker_words
+from regweave.llm.bpe import pack as pack_ids
 from regweave.llm.catalog import query
 from regweave.session import shared_folder
 
@@ -117,22 +118,23 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, id: str
                  segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Encode whole texts, append ``end_id`` to each, and write segments in ascending id order.
 
-    Null ids come first, rows with equal ids in the order of a hash of their ids; null and empty texts hold the
+    Null ids come first, rows with equal ids in the order of a hash of their texts; null and empty texts hold the
     end id alone; an empty table writes an empty table.  ``id`` must be an integer; other columns are not read.
     A segment holds whole documents, up to ``segment_tokens`` tokens or one document if that is longer.
     """
-    tokens = encode(docs, path, id, text, decoded=False).select(F.col(id).cast("bigint").alias("_id"), F.col("ids").alias("_ids"))
-    tokens = tokens.withColumn("_tie", F.xxhash64("_ids"))
-    tokens = tokens.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie").drop("_tie")
-    tokens = tokens.withColumn("part", F.spark_partition_id())
-    end = np.array([end_id], np.uint32)
+    path = path or default_tokenizer()
+    rows = docs.select(F.col(id).cast("bigint").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    # Texts are put in order before they are encoded, or finding the ranges would encode them once more.
+    rows = rows.withColumn("_tie", F.xxhash64("_text"))
+    rows = rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie").drop("_tie").withColumn("part", F.spark_partition_id())
+    end = pack_ids([end_id])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("seg", pa.int32()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("data", pa.binary())])
-        names, held, size, seg, part = [], [], 0, 0, 0
-        for batch in batches:
-            for p, i, raw in zip(batch.column("part").to_pylist(), batch.column("_id").to_pylist(), batch.column("_ids")):
-                part, doc = p, np.concatenate([np.frombuffer(raw.as_buffer(), "<u4"), end])
+        names, held, size, seg, part, words = [], [], 0, 0, 0, worker_words(path, False)
+        for rows, texts in slices(batches, "_text"):
+            for p, i, (ids, _) in zip(rows.column("part").to_pylist(), rows.column("_id").to_pylist(), words.encode(texts)):
+                part, doc = p, np.frombuffer(ids + end, "<u4")
                 if names and size + len(doc) > segment_tokens:
                     yield batch_of(schema, [part], [seg], [size], [len(names)], [segment(names, held)])
                     names, held, size, seg = [], [], 0, seg + 1
@@ -142,7 +144,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, id: str
         if names:
             yield batch_of(schema, [part], [seg], [size], [len(names)], [segment(names, held)])
 
-    out = tokens.mapInArrow(pack, "part int, seg int, n_tokens bigint, n_docs bigint, data binary")
+    out = rows.mapInArrow(pack, "part int, seg int, n_tokens bigint, n_docs bigint, data binary")
     out.write.option("compression", "zstd").parquet(folder)
 
 
