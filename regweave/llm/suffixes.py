@@ -30,8 +30,8 @@ from regweave.session import stored
 #: Bytes of a repeated string; of a picked piece.
 LENGTH, PIECE = 200, 64
 #: Bytes after which a suffix sort begins; occurrences of a piece from which on digests are grouped instead.
-#: BLOCK + MANY * (2 * LENGTH - PIECE) stays below 3 million, so that names of triples fit in 21 bits.
-BLOCK, MANY = 1_300_000, 5_000
+#: BLOCK + MANY * (2 * LENGTH - PIECE) stays far below 3 million, so that names of triples fit in 21 bits.
+BLOCK, MANY = 600_000, 2_500
 _BITS = 1 << 20
 
 
@@ -128,20 +128,10 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, where: np.ndarray, len
     return out
 
 
-def intervals_of(block: list[tuple], length: int = LENGTH) -> list[tuple[int, int, int, int]]:
-    """(k1, k2, start, end) of repeated bytes among contexts ``(piece, k1, k2, start, bytes)``."""
-    out, groups = [], {}
-    for piece, k1, k2, start, context in block:
-        groups.setdefault(piece, {}).setdefault(context, set()).add((k1, k2, start))
-    left = []
-    for classes in groups.values():
-        for context, places in classes.items():
-            if len(places) > 1:
-                out += [(k1, k2, a, a + len(context)) for k1, k2, a in places]
-        if len(classes) > 1 and any(len(p) == 1 for p in classes.values()):
-            left += [(context, min(places), len(places) == 1) for context, places in classes.items()]
-    if not left:
-        return out
+def intervals_of(left: list[tuple], length: int = LENGTH) -> list[tuple[int, int, int, int]]:
+    """(k1, k2, start, end) of repeated bytes in the single ones of contexts ``(piece, single, k1, k2, start, bytes)``."""
+    out = []
+    left = [(context, (k1, k2, start), single) for _, single, k1, k2, start, context in left]
     text = np.frombuffer(b"".join(c for c, _, _ in left), np.uint8)
     sizes = np.array([len(c) for c, _, _ in left])
     heads = np.cumsum(sizes) - sizes
@@ -200,54 +190,64 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, pi
     keyed = keyed.select("text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("piece", pa.int64()), ("k1", pa.int64()), ("pos", pa.int32())])
+        schema = pa.schema([("piece", pa.int64()), ("context", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("size", pa.int32())])
         for part, texts in slices(batches, "text"):
             got = [picked(np.frombuffer(t, np.uint8), length, piece) for t in texts]
-            owner = np.repeat(part.column("k1").to_numpy(), [len(p) for p, _ in got])
-            yield batch_of(schema, np.concatenate([h for _, h in got]).view(np.int64), owner, np.concatenate([p for p, _ in got]).astype(np.int32))
-
-    pieces = stored(keyed.select("text", "k1").mapInArrow(pick, "piece bigint, k1 bigint, pos int"))
-    twice = pieces.groupBy("piece").agg(F.count("*").alias("n"), F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("pos").alias("c"), F.max("pos").alias("d"))
-    twice = twice.filter("a <> b or c <> d").select("piece", "n")
-    met = stored(pieces.join(twice, "piece").groupBy("k1", "pos", "piece").agg(F.max("n").alias("n")))
+            counts = [len(p) for p, _ in got]
+            k1, k2 = np.repeat(part.column("k1").to_numpy(), counts), np.repeat(part.column("k2").to_numpy(), counts)
+            starts = [np.maximum(0, p + piece - length) for p, _ in got]
+            ends = [np.minimum(len(t), p + length) for t, (p, _) in zip(texts, got)]
+            hashes = [xxhash.xxh64_intdigest(t[a:b]) for t, s, e in zip(texts, starts, ends) for a, b in zip(s.tolist(), e.tolist())]
+            start, end = np.concatenate(starts).astype(np.int32), np.concatenate(ends).astype(np.int32)
+            yield batch_of(schema, np.concatenate([h for _, h in got]).view(np.int64), np.array(hashes, np.uint64).view(np.int64), k1, k2, start, end - start)
+
+    pieces = stored(keyed.mapInArrow(pick, "piece bigint, context bigint, k1 bigint, k2 bigint, start int, size int"))
+    # Equal contexts of a piece are one class.  A class with two places is repeated as a whole; a class with one
+    # place needs the suffix sort if its piece has other classes.  Copies of a text are one place.
+    place = F.xxhash64("k1", "k2", "start")
+    classes = pieces.groupBy("piece", "context").agg(*[F.first(c).alias(c) for c in ("k1", "k2", "start", "size")], F.min(place).alias("a"), F.max(place).alias("b"))
+    classes = stored(classes.withColumn("single", F.col("a") == F.col("b")).drop("a", "b"))
+    whole = pieces.join(classes.filter("not single").select("piece", "context"), ["piece", "context"])
+    whole = whole.select("k1", "k2", "start", (F.col("start") + F.col("size")).alias("end"))
+    unsure = classes.groupBy("piece").agg(F.count("*").alias("n"), F.sum(F.col("single").cast("int")).alias("n1")).filter("n > 1 and n1 > 0").select("piece", "n")
+    met = stored(classes.join(unsure, "piece").select("piece", "n", "k1", "k2", "start", "size", "single"))
     # All places of one text: as many as the text is long, at most.
-    places = met.groupBy("k1").agg(F.collect_list(F.struct("pos", "piece", "n")).alias("places"))
-    found = _only(keyed, met).join(places, "k1")
+    places = met.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "size", "piece", "n", "single")).alias("places"))
+    one = _only(keyed, met).join(places, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("places").alias("places"))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("piece", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("context", pa.binary())])
+        schema = pa.schema([("piece", pa.int64()), ("n", pa.int64()), ("single", pa.bool_()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("context", pa.binary())])
         for part, texts in slices(batches, "text", rows=256):
             rows = []
             for t, k1, k2, at in zip(texts, part.column("k1").to_pylist(), part.column("k2").to_pylist(), part.column("places").to_pylist()):
                 for p in at:
-                    a = max(0, p["pos"] + piece - length)
-                    rows.append((p["piece"], p["n"], k1, k2, a, t[a : p["pos"] + length]))
+                    a = p["start"]
+                    rows.append((p["piece"], p["n"], p["single"], k1, k2, a, t[a : a + p["size"]]))
                     if len(rows) == 4096:
                         yield batch_of(schema, *zip(*rows))
                         rows = []
             if rows:
                 yield batch_of(schema, *zip(*rows))
 
-    one = found.select("k1", "k2", "text", "places")
-    contexts = one.mapInArrow(surround, "piece bigint, n bigint, k1 bigint, k2 bigint, start int, context binary")
+    contexts = one.select("k1", "k2", "text", "places").mapInArrow(surround, "piece bigint, n bigint, single boolean, k1 bigint, k2 bigint, start int, context binary")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
         held, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("piece", "k1", "k2", "start", "context"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("piece", "single", "k1", "k2", "start", "context"))):
                 if row[0] != last and size > block:
                     yield batch_of(schema, *(zip(*got) if (got := intervals_of(held, length)) else ([], [], [], [])))
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
                 last = row[0]
         if held:
             yield batch_of(schema, *(zip(*got) if (got := intervals_of(held, length)) else ([], [], [], [])))
 
     spans = "k1 bigint, k2 bigint, start int, `end` int"
     few = contexts.filter(F.col("n") <= many).drop("n").repartition("piece").sortWithinPartitions("piece")
-    out = few.mapInArrow(sort, spans)
+    out = few.mapInArrow(sort, spans).unionByName(whole)
     hot = met.filter(F.col("n") > many)
     if hot.isEmpty():
         return out
@@ -264,7 +264,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, pi
             if rows:
                 yield batch_of(schema, *zip(*rows))
 
-    strings = contexts.filter(F.col("n") > many).drop("n", "piece").mapInArrow(digests, "digest binary, k1 bigint, k2 bigint, start int")
+    strings = contexts.filter(F.col("n") > many).drop("n", "piece", "single").mapInArrow(digests, "digest binary, k1 bigint, k2 bigint, start int")
     ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("k1", "k2", "start") for f in (F.min, F.max)]
     repeated = strings.groupBy("digest").agg(*ends).filter("min_k1 <> max_k1 or min_k2 <> max_k2 or min_start <> max_start").select("digest")
     return out.unionByName(strings.join(repeated, "digest").select("k1", "k2", "start", (F.col("start") + length).cast("int").alias("end")))
