@@ -13,6 +13,7 @@ shared token at each end of the window glues the three chains together.
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 import unicodedata
@@ -29,8 +30,8 @@ from regweave.session import stored
 
 #: Characters of a piece from which on it is cut, and of the parts that it is cut into.
 LEAF = 4096
-#: Pieces that a worker remembers before it starts afresh.
-REMEMBERED = 800_000
+#: Pieces that a worker remembers before it starts afresh, with and without their decoded texts.
+REMEMBERED, REMEMBERED_IDS = 800_000, 1_200_000
 
 ENCODED = "ids binary, decoded string"
 
@@ -88,6 +89,13 @@ class Words:
         """Ids and decoded text of each whole text."""
         if len(self.ids) > self.most:
             self._forget()
+        gc.disable()  # nothing here is cyclic, and the memory is large to walk through
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
         number = self.numbers.__getitem__
         rows = [list(map(number, t.split())) for t in texts]
         new, self.numbers.new = self.numbers.new, []
@@ -113,7 +121,7 @@ def worker_words(path: str, decoded: bool = True, leaf: int = LEAF) -> Words:
     """The memory of this Python worker: Spark reuses workers, so later tasks find it filled."""
     held = sys.__dict__.setdefault("_regweave_words", {})
     if (path, decoded, leaf) not in held:
-        held[path, decoded, leaf] = Words(path, decoded=decoded, leaf=leaf)
+        held[path, decoded, leaf] = Words(path, REMEMBERED if decoded else REMEMBERED_IDS, decoded, leaf)
     return held[path, decoded, leaf]
 
 

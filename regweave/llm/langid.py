@@ -126,10 +126,11 @@ def phrases(table: np.ndarray, steps: np.ndarray) -> np.ndarray:
     for c in steps:
         nexts = flat.take(state * symbols + c).astype(np.int64)
         miss = np.flatnonzero((nexts == 0) & (c != symbols - 1))
-        nexts[miss] = flat.take(c[miss])  # a phrase begins: from the root
-        begun[miss] += 1
+        begun += (state == 0) & (c != symbols - 1)
+        begun[miss] += state[miss] != 0
+        nexts[miss] = flat.take(c[miss])  # a phrase begins: from the root, at which an unknown symbol ends it
         state = nexts
-    return begun + (steps[0] != symbols - 1) if len(steps) else begun
+    return begun
 
 
 def train(rows: list[tuple[str, str]], characters: int = CHARACTERS, symbols: int = SYMBOLS) -> Model:
