@@ -22,11 +22,16 @@ CONSTANT_PERCENT = 60
 _SPACE = r"[\x09-\x0D\x20]+"
 _FIELD = r"[^\x09-\x0D\x20]*[0-9][^\x09-\x0D\x20]*"
 _EDGES = r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$"
+# The same matches without going back: only where a token starts, up to its first digit.
+_FIELD_AT_START = r"(?<![^\x09-\x0D\x20])[^\x09-\x0D\x200-9]*[0-9][^\x09-\x0D\x20]*"
 
 
-def tokens_of(line: Column) -> Column:
-    """Tokens of a line; those with digits become one variable field."""
-    return F.split(F.regexp_replace(F.regexp_replace(line, _FIELD, "<*>"), _EDGES, ""), _SPACE)
+def masked_lines(text: Column) -> Column:
+    """Lines of a text with single spaces between tokens; tokens with digits become one variable field."""
+    odd = r"[\x09\x0B-\x0D]|\x20\x20"
+    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _FIELD_AT_START, "<*>")).otherwise(text)
+    text = F.when(text.rlike(odd), F.regexp_replace(text, r"[\x09\x0B-\x0D\x20]+", " ")).otherwise(text)
+    return F.transform(F.split(text, "\n"), F.trim)
 
 
 def _key(text: Column) -> list[Column]:
@@ -34,11 +39,13 @@ def _key(text: Column) -> list[Column]:
 
 
 def _lines(docs: DataFrame, text: str, least: int, depth: int) -> DataFrame:
-    """``k1 k2`` (the text), ``no``, ``m`` (masked tokens), ``leaf``, ``line`` of every line with enough tokens."""
-    rows = docs.filter(F.col(text).isNotNull()).select(*_key(F.col(text)), F.posexplode(F.split(F.col(text), "\n")).alias("no", "_line"))
-    rows = rows.select("k1", "k2", "no", tokens_of(F.col("_line")).alias("m")).filter(F.size("m") >= least)
-    leaf = F.xxhash64(F.size("m"), F.array_join(F.slice("m", 1, depth), " "))
-    return rows.withColumn("leaf", leaf).withColumn("line", F.xxhash64(F.array_join("m", " ")))
+    """``k1 k2`` (the text), ``no``, ``s`` (masked line), ``size``, ``leaf``, ``line`` of every line with enough tokens."""
+    # The lines are made inside the generator, so no later expression makes them again.
+    rows = docs.filter(F.col(text).isNotNull()).select(*_key(F.col(text)), F.posexplode(masked_lines(F.col(text))).alias("no", "s"))
+    size = F.length("s") - F.length(F.replace("s", F.lit(" "))) + 1
+    rows = rows.withColumn("size", size).filter(F.col("size") >= least)
+    leaf = F.xxhash64("size", F.substring_index("s", " ", depth))
+    return rows.withColumn("leaf", leaf).withColumn("line", F.xxhash64("s"))
 
 
 def recurring(docs: DataFrame, text: str = "text", depth: int = DEPTH, tokens: int = TOKENS, texts: int = TEXTS,
@@ -52,8 +59,8 @@ def recurring(docs: DataFrame, text: str = "text", depth: int = DEPTH, tokens: i
     whole = lines.filter(F.col("n") >= texts).select("leaf", "line")
     leaves = lines.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("_lines")).filter((F.col("total") >= texts) & (F.col("_lines") > 1))
     varied = lines.join(leaves.select("leaf", "total"), "leaf")
-    words = parsed.select("leaf", "line", "m").join(varied, ["leaf", "line"]).groupBy("leaf", "line").agg(F.first("m").alias("m"), F.first("n").alias("n"), F.first("total").alias("total"))
-    at = stored(words.select("leaf", "line", "n", "total", F.size("m").alias("size"), F.posexplode(F.slice("m", F.lit(depth + 1), F.size("m"))).alias("pos", "token")))
+    words = parsed.select("leaf", "line", "s", "size").join(varied, ["leaf", "line"]).groupBy("leaf", "line").agg(*[F.first(c).alias(c) for c in ("s", "size", "n", "total")])
+    at = stored(words.select("leaf", "line", "n", "total", "size", F.posexplode(F.slice(F.split("s", " "), F.lit(depth + 1), F.col("size"))).alias("pos", "token")))
     constant = at.groupBy("leaf", "pos", "token", "total", "size").agg(F.sum("n").alias("_n")).filter(2 * F.col("_n") > F.col("total"))
     templates = constant.groupBy("leaf", "size").agg(F.count("*").alias("fixed")).filter(100 * (F.col("fixed") + depth) >= constant_percent * F.col("size"))
     fits = at.join(constant.select("leaf", "pos", "token"), ["leaf", "pos", "token"]).groupBy("leaf", "line").agg(F.count("*").alias("fixed"))
