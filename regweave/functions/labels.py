@@ -12,7 +12,7 @@ from regweave.functions.dates import literal_map
 SOURCE_PRECEDENCE = ("fcc", "ised", "acma", "nkom", "bnetza", "anatel", "enacom", "ursec",
                      "nmhh", "uke")
 # Sources that are only read when the caller opts in.
-RESTRICTED_SOURCES = ("lotw",)
+RESTRICTED_SOURCES = ("nmhh",)
 # The postal system a regulator's addresses use.
 POSTAL_COUNTRY = {"fcc": "United States", "ised": "Canada", "acma": "Australia"}
 

@@ -42,7 +42,7 @@ def collect_streams(
             streams[tag] = stored(read())
             report.append((tag, "ok", ""))
         except Exception as error:  # any read or parse failure of one source
-            report.append((tag, "skipped", str(error)[:200]))
+            report.append((tag, "skipped", str(error)))
     if not streams:
         raise GateError(f"no source could be read: {report}")
     return streams, report

@@ -365,8 +365,8 @@ def test_partial_build(spark):
     def broken():
         raise ValueError("no file")
 
-    streams, report = builds.collect_streams({"fcc": lambda: good, "ised": broken, "lotw": lambda: good})
-    assert list(streams) == ["fcc"] and [r[:2] for r in report] == [("fcc", "ok"), ("ised", "skipped"), ("lotw", "refused")]
+    streams, report = builds.collect_streams({"fcc": lambda: good, "ised": broken, "nmhh": lambda: good})
+    assert list(streams) == ["fcc"] and [r[:2] for r in report] == [("fcc", "ok"), ("ised", "skipped"), ("nmhh", "refused")]
     with pytest.raises(guards.GateError):
         builds.collect_streams({"ised": broken})
 
