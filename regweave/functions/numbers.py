@@ -23,9 +23,9 @@ def to_whole(col: Column) -> Column:
 
 
 def digits_only(col: Column) -> Column:
-    """A plain ASCII digit string as bigint, else null."""
+    """A plain ASCII digit string as bigint, else null, also where it does not fit."""
     text = strip(col)
-    return F.when(text.rlike(r"^[0-9]{1,18}$"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"^[0-9]+$"), text.try_cast("bigint"))
 
 
 def active_flag(col: Column) -> Column:

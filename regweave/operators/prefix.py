@@ -16,7 +16,8 @@ SHAPED_PREFIX = "KG4"
 
 
 def _shape_ok(call: Column, key: Column) -> Column:
-    suffix = F.substring(F.substring_index(call, "/", 1), len(SHAPED_PREFIX) + 1, 1000)
+    base = F.substring_index(call, "/", 1)
+    suffix = F.substring(base, F.lit(len(SHAPED_PREFIX) + 1), F.length(base))
     fits = (suffix == "") | suffix.rlike(r"^\p{L}{2}$")
     return (key != SHAPED_PREFIX) | fits
 
