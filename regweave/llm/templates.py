@@ -26,12 +26,17 @@ _EDGES = r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$"
 _FIELD_AT_START = r"(?<![^\x09-\x0D\x20])[^\x09-\x0D\x200-9]*[0-9][^\x09-\x0D\x20]*"
 
 
-def masked_lines(text: Column) -> Column:
-    """Lines of a text with single spaces between tokens; tokens with digits become one variable field."""
+def _masked(line: Column) -> Column:
+    """A line with single spaces between tokens; tokens with digits become one variable field."""
     odd = r"[\x09\x0B-\x0D]|\x20\x20"
-    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _FIELD_AT_START, "<*>")).otherwise(text)
-    text = F.when(text.rlike(odd), F.regexp_replace(text, r"[\x09\x0B-\x0D\x20]+", " ")).otherwise(text)
-    return F.transform(F.split(text, "\n"), F.trim)
+    line = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _FIELD_AT_START, "<*>")).otherwise(line)
+    line = F.when(line.rlike(odd), F.regexp_replace(line, r"[\x09\x0B-\x0D\x20]+", " ")).otherwise(line)
+    return F.trim(line)
+
+
+def masked_lines(text: Column) -> Column:
+    """Lines of a text, each masked on its own: most lines have no digit and are only looked at."""
+    return F.transform(F.split(text, "\n"), _masked)
 
 
 def _key(text: Column) -> list[Column]:
@@ -40,8 +45,10 @@ def _key(text: Column) -> list[Column]:
 
 def _lines(docs: DataFrame, text: str, least: int, depth: int) -> DataFrame:
     """``k1 k2`` (the text), ``no``, ``s`` (masked line), ``size``, ``leaf``, ``line`` of every line with enough tokens."""
-    # The lines are made inside the generator, so no later expression makes them again.
-    rows = docs.filter(F.col(text).isNotNull()).select(*_key(F.col(text)), F.posexplode(masked_lines(F.col(text))).alias("no", "s"))
+    # The key is made below the generator, once a text and not once a line; the lines inside it, so no later
+    # expression makes them again.
+    rows = docs.filter(F.col(text).isNotNull()).select(*_key(F.col(text)), F.col(text).alias("text"))
+    rows = rows.select("k1", "k2", F.posexplode(masked_lines(F.col("text"))).alias("no", "s"))
     size = F.length("s") - F.length(F.replace("s", F.lit(" "))) + 1
     rows = rows.withColumn("size", size).filter(F.col("size") >= least)
     leaf = F.xxhash64("size", F.substring_index("s", " ", depth))
@@ -51,8 +58,8 @@ def _lines(docs: DataFrame, text: str, least: int, depth: int) -> DataFrame:
 def recurring(docs: DataFrame, text: str = "text", depth: int = DEPTH, tokens: int = TOKENS, texts: int = TEXTS,
               constant_percent: int = CONSTANT_PERCENT) -> DataFrame:
     """``k1 k2`` (hash and length of a text) and ``drop``, the numbers of its lines that recurring templates cover."""
-    parsed = _lines(docs, text, tokens, depth)
-    narrow = stored(parsed.select("k1", "k2", "no", "leaf", "line").distinct())
+    parsed = stored(_lines(docs, text, tokens, depth))
+    narrow = parsed.select("k1", "k2", "no", "leaf", "line")
     # Texts of each masked line, counted in two steps so that a line of a third of all texts is split.
     lines = narrow.select("leaf", "line", "k1", "k2").distinct().groupBy("leaf", "line").agg(F.count("*").alias("n"))
     lines = stored(lines)
