@@ -138,9 +138,9 @@ def name_split(t: Tables) -> DataFrame:
 # Every line of every document, five of six turned into address-like shapes.
 LINES_SQL = r"""
 lines AS (SELECT doc_id, line_no, CASE (doc_id + line_no) % 6 WHEN 0 THEN l
-    WHEN 1 THEN (doc_id % 900 + 1) || ' ' || substr(l, 1, 20) || ' Rd' WHEN 2 THEN 'Calle ' || substr(l, 1, 10) || ' ' || line_no
-    WHEN 3 THEN substr(l, 1, 15) || ' lote ' || line_no WHEN 4 THEN doc_id::VARCHAR
-    ELSE substr(l, 1, 12) || ', ' || line_no || ' Example Av' END AS v
+    WHEN 1 THEN (doc_id % 900 + 1) || ' ' || l || ' Rd' WHEN 2 THEN 'Calle ' || l || ' ' || line_no
+    WHEN 3 THEN l || ' lote ' || line_no WHEN 4 THEN doc_id::VARCHAR
+    ELSE l || ', ' || line_no || ' Example Av' END AS v
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
         FROM documents))"""
 
@@ -149,10 +149,10 @@ def _lines(t: Tables) -> DataFrame:
     lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "l"))
     l, n, k = F.col("l"), F.col("line_no"), (F.col("doc_id") + F.col("line_no")) % 6
     value = (
-        F.when(k == 0, l).when(k == 1, F.concat(F.col("doc_id") % 900 + 1, F.lit(" "), F.substring(l, 1, 20), F.lit(" Rd")))
-        .when(k == 2, F.concat(F.lit("Calle "), F.substring(l, 1, 10), F.lit(" "), n))
-        .when(k == 3, F.concat(F.substring(l, 1, 15), F.lit(" lote "), n)).when(k == 4, F.col("doc_id").cast("string"))
-        .otherwise(F.concat(F.substring(l, 1, 12), F.lit(", "), n, F.lit(" Example Av")))
+        F.when(k == 0, l).when(k == 1, F.concat(F.col("doc_id") % 900 + 1, F.lit(" "), l, F.lit(" Rd")))
+        .when(k == 2, F.concat(F.lit("Calle "), l, F.lit(" "), n))
+        .when(k == 3, F.concat(l, F.lit(" lote "), n)).when(k == 4, F.col("doc_id").cast("string"))
+        .otherwise(F.concat(l, F.lit(", "), n, F.lit(" Example Av")))
     )
     return lines.select("doc_id", n.cast("bigint").alias("line_no"), value.alias("v"))
 

@@ -135,3 +135,12 @@ def test_numbers(spark):
     assert run(spark, numbers.digits_only, ["12", " 7 ", "1.5", "x", None]) == [12, 7, None, None, None]
     assert run(spark, numbers.active_flag, [None, "0", "1", "true", "false", "yes"]) == [True, False, True, True, False, True]
     assert run(spark, lambda c: numbers.active_until(c, "2026-01-01"), ["2026-01-01", "2025-12-31", None, "odd"]) == [True, False, True, True]
+
+
+def test_address_detectors_take_texts_of_any_length(spark):
+    from regweave.functions.address import location_has_street_address, looks_like_street_address
+
+    words = "oak " * 50_000
+    df = spark.createDataFrame([(f"12 {words}road",), (f"12 {words}",), (words,)], "v string")
+    got = df.select(looks_like_street_address(F.col("v")), location_has_street_address(F.col("v"))).collect()
+    assert [tuple(r) for r in got] == [(True, True), (False, True), (False, False)]
