@@ -87,8 +87,8 @@ def callbook_entries(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     and lines on list pages that belong to nothing.
     """
     text = strip(F.col("text"))
-    # ``line_no`` restarts on every page; a wide stride keeps one order over pages.
-    base = lines.select("doc", "page", (F.col("page") * 100000 + F.col("line_no")).cast("bigint").alias("line_no"),
+    # ``line_no`` restarts on every page; the page takes the upper half, so a page of any length keeps its order.
+    base = lines.select("doc", "page", (F.shiftleft(F.col("page").cast("bigint"), 32) + F.col("line_no")).alias("line_no"),
                         text.alias("text"))
     filled = base.withColumn("_first", F.min(F.when(F.col("text") != "", F.col("line_no"))).over(Window.partitionBy("doc", "page")))
     body = filled.filter(~((F.col("line_no") == F.col("_first")) & F.col("text").rlike(PAGE_NUMBER))).drop("_first")
