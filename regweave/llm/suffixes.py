@@ -2,9 +2,9 @@
 
 A byte goes if a 200-byte string that covers it also starts anywhere else.  Suffix sorting every byte of a
 corpus would move many times its size, so suffixes that cannot matter are left out first, without loss: each
-200-byte string picks its 64-byte pieces with the smallest hash, a choice that depends on the string alone,
-so equal strings share a picked piece.  Only pieces that occur twice lead on, with the bytes around them, and
-all that share one meet in one task.  There the suffixes are sorted by the difference cover modulo 3 (name
+200-byte string picks its first 64-byte piece with the smallest hash, a choice that depends on the string alone,
+so equal strings pick the same piece.  Only pieces that occur twice lead on, with the bytes of the strings that
+pick them, and all that share one meet in one task.  There the suffixes are sorted by the difference cover modulo 3 (name
 sampled triples, recurse on the names until they tell 200 bytes apart, order the rest by the sample, merge),
 and neighbours in suffix order are compared.
 
@@ -31,7 +31,7 @@ from regweave.session import stored
 LENGTH, PIECE = 200, 64
 #: Bytes after which a suffix sort begins; occurrences of a piece from which on digests are grouped instead.
 #: BLOCK + MANY * (2 * LENGTH - PIECE) stays far below 3 million, so that names of triples fit in 21 bits.
-BLOCK, MANY = 600_000, 2_500
+BLOCK, MANY = 200_000, 2_500
 _BITS = 1 << 20
 
 
@@ -45,10 +45,14 @@ def _sliding(a: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(a[: len(a) - rest], a[rest:]) if rest else a
 
 
-def picked(data: np.ndarray, length: int = LENGTH, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the pieces with the smallest hash of any ``length`` bytes of a text (ties: all)."""
+def picked(data: np.ndarray, length: int = LENGTH, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each picked piece, and the first and last start of the strings that pick it.
+
+    A string of ``length`` bytes picks its piece with the smallest hash (ties: the first), so each start of a text
+    belongs to one pick, and the starts of a pick are neighbours.
+    """
     if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     h = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     step, factor = 1, 0xD6E8FEB86659FD93
     while step < piece:
@@ -62,7 +66,22 @@ def picked(data: np.ndarray, length: int = LENGTH, piece: int = PIECE) -> tuple[
     ends = np.zeros(width - 1, np.uint64)
     top = _sliding(np.concatenate([ends, least, ends]), width, np.maximum)
     at = np.flatnonzero(top == h)
-    return at, h[at]
+    # Starts of equal minimum are a run; runs and picks follow each other in the same order, tied picks share a run.
+    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+    last = np.r_[first[1:] - 1, len(least) - 1]
+    tied = np.r_[False, h[at[1:]] == h[at[:-1]]]
+    run = np.cumsum(~tied) - 1
+    begin = np.where(tied, np.r_[0, at[:-1] + 1], first[run])
+    end = np.where(np.r_[tied[1:], False], np.minimum(at, last[run]), last[run])
+    some = begin <= end
+    return h[at[some]], begin[some], end[some]
+
+
+def _ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of keys and the keys in that order; a key and a position fit in 64 bits together."""
+    bits = np.uint64(max(1, len(keys).bit_length()))
+    both = np.sort((keys.astype(np.uint64) << bits) | np.arange(len(keys), dtype=np.uint64))
+    return (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), both >> bits
 
 
 def suffix_ranks(s: np.ndarray, levels: int) -> np.ndarray:
@@ -83,20 +102,24 @@ def suffix_ranks(s: np.ndarray, levels: int) -> np.ndarray:
         rank = suffix_ranks(np.concatenate([rank[: len(one)], [0], rank[len(one) :]]), levels - 1)
         rank = np.delete(rank, len(one)) + 1
     # The sample in order, with distinct places; r holds them by position.
-    order = np.argsort(rank, kind="stable")
+    order, _ = _ordered(rank)
     place = np.empty(len(sample), np.int64)
     place[order] = np.arange(len(sample))
     r = np.zeros(n + 6, np.uint64)
     r[sample] = rank.astype(np.uint64) + np.uint64(1)
     zero = np.arange(0, n, 3)
-    by_one = lambda p: (t[p] << np.uint64(32)) | r[p + 1]
-    by_two = lambda p: (t[p] << np.uint64(43)) | (t[p + 1] << np.uint64(22)) | r[p + 2]
-    z1, z2, k1, k2 = by_one(zero), by_two(zero), by_one(one), by_two(two)
-    # Merge: how many of the sample stand before each other suffix, and the other way round.
-    before_zero = np.searchsorted(np.sort(k1), z1, side="right") + np.searchsorted(np.sort(k2), z2, side="right")
-    rest = np.empty(len(zero), np.int64)
-    rest[np.argsort(z1, kind="stable")] = np.arange(len(zero))
-    before_one, before_two = np.searchsorted(np.sort(z1), k1, side="left"), np.searchsorted(np.sort(z2), k2, side="left")
+    by_one = lambda p: (t[p] << np.uint64(21)) | r[p + 1]
+    by_two = lambda p: (t[p] << np.uint64(42)) | (t[p + 1] << np.uint64(21)) | r[p + 2]
+    z2, k2 = by_two(zero), by_two(two)
+    (zeros, z1), (ones, k1) = _ordered(by_one(zero)), _ordered(by_one(one))
+    twos = order[order >= len(one)] - len(one)
+    # Merge: how many of the sample stand before each other suffix, and the other way round; looked up in order.
+    before_zero, rest = np.empty(len(zero), np.int64), np.empty(len(zero), np.int64)
+    before_zero[zeros] = np.searchsorted(k1, z1, side="right") + np.searchsorted(np.sort(k2), z2[zeros], side="right")
+    rest[zeros] = np.arange(len(zero))
+    before_one, before_two = np.empty(len(one), np.int64), np.empty(len(two), np.int64)
+    before_one[ones] = np.searchsorted(z1, k1, side="left")
+    before_two[twos] = np.searchsorted(np.sort(z2), k2[twos], side="left")
     out = np.empty(n + 1, np.int64)
     out[zero] = rest + before_zero
     out[one] = place[: len(one)] + before_one
@@ -110,7 +133,7 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, where: np.ndarray, len
     while reach < length:
         levels, reach = levels + 1, reach * 3
     ranks = suffix_ranks(text.astype(np.int64) + 1, levels)
-    order = np.argsort(ranks[starts], kind="stable")
+    order, _ = _ordered(ranks[starts])
     at = starts[order]
     words = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     for shift in (1, 2, 4):
@@ -193,13 +216,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, pi
         schema = pa.schema([("piece", pa.int64()), ("context", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("size", pa.int32())])
         for part, texts in slices(batches, "text"):
             got = [picked(np.frombuffer(t, np.uint8), length, piece) for t in texts]
-            counts = [len(p) for p, _ in got]
+            counts = [len(h) for h, _, _ in got]
             k1, k2 = np.repeat(part.column("k1").to_numpy(), counts), np.repeat(part.column("k2").to_numpy(), counts)
-            starts = [np.maximum(0, p + piece - length) for p, _ in got]
-            ends = [np.minimum(len(t), p + length) for t, (p, _) in zip(texts, got)]
+            starts, ends = [a for _, a, _ in got], [b + length for _, _, b in got]
             hashes = [xxhash.xxh64_intdigest(t[a:b]) for t, s, e in zip(texts, starts, ends) for a, b in zip(s.tolist(), e.tolist())]
             start, end = np.concatenate(starts).astype(np.int32), np.concatenate(ends).astype(np.int32)
-            yield batch_of(schema, np.concatenate([h for _, h in got]).view(np.int64), np.array(hashes, np.uint64).view(np.int64), k1, k2, start, end - start)
+            yield batch_of(schema, np.concatenate([h for h, _, _ in got]).view(np.int64), np.array(hashes, np.uint64).view(np.int64), k1, k2, start, end - start)
 
     pieces = stored(keyed.mapInArrow(pick, "piece bigint, context bigint, k1 bigint, k2 bigint, start int, size int"))
     # Equal contexts of a piece are one class.  A class with two places is repeated as a whole; a class with one
