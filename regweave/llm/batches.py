@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 1024, size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -27,6 +29,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 1024, siz
             at += n
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], column: str, rows: int = 8192, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Sub-batches as in ``slices``, left as Arrow columns."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            n = max(1, int(np.searchsorted(ends, done + size, side="right")) - at)
+            yield batch.slice(at, min(n, rows))
+            at += min(n, rows)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     """A record batch from lists or arrays in schema order."""
     return pa.RecordBatch.from_arrays(

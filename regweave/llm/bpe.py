@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regweave.llm.batches import batch_of, slices
+from regweave.llm.batches import batch_of, parts_of
 from regweave.llm.catalog import query
 from regweave.session import stored
 
@@ -70,6 +71,25 @@ class Numbers(dict):
         return n
 
 
+class Pieces:
+    """Texts of a batch cut at ASCII white space: ``bounds`` of each text among the distinct pieces' ``codes``."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        self.bounds = words.offsets.to_numpy().astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        self.codes = coded.indices.to_numpy(zero_copy_only=False)
+        self.distinct = coded.dictionary.cast(pa.binary())
+
+    def long_texts(self, leaf: int) -> np.ndarray:
+        """Which texts hold a piece of more than ``leaf`` bytes."""
+        out = np.zeros(len(self.bounds) - 1, bool)
+        sizes = pc.binary_length(self.distinct).to_numpy(zero_copy_only=False)
+        if len(sizes) and sizes.max() > leaf:
+            out[np.searchsorted(self.bounds, np.flatnonzero(sizes[self.codes] > leaf), side="right") - 1] = True
+        return out
+
+
 class Words:
     """Encodings of pieces between ASCII white space, remembered up to a bound.
 
@@ -82,37 +102,43 @@ class Words:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers, self.ids, self.texts = Numbers(), [], []
+        self.numbers, self.texts = Numbers(), []
+        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
         self.numbers.new = []
 
-    def encode(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
-        """Ids and decoded text of each whole text."""
-        if len(self.ids) > self.most:
+    def encode(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
+        """Ids of all texts in one array, the bounds of each text, and the decoded texts."""
+        if len(self.numbers) > self.most:
             self._forget()
         gc.disable()  # nothing here is cyclic, and the memory is large to walk through
         try:
-            return self._encode(texts)
+            return self._encode(pieces)
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
-        number = self.numbers.__getitem__
-        rows = [list(map(number, t.split())) for t in texts]
+    def _encode(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
+        numbers = np.fromiter(map(self.numbers.__getitem__, pieces.distinct.to_pylist()), np.int64, len(pieces.distinct))
         new, self.numbers.new = self.numbers.new, []
         for at in range(0, len(new), 20_000):
             self._learn([w.decode() for w in new[at : at + 20_000]])
-        ids, out = self.ids.__getitem__, self.texts.__getitem__
-        return [(b"".join(map(ids, r)), "".join(map(out, r))[:-1] if self.decoded else "") for r in rows]
+        starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
+        counts = sizes[pieces.codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.ids[np.repeat(starts[pieces.codes] - ends[:-1], counts) + np.arange(ends[-1])]
+        texts = None
+        if self.decoded:
+            parts = pa.array(map(self.texts.__getitem__, numbers.tolist()), pa.string(), size=len(numbers)).take(pa.array(pieces.codes))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(pieces.bounds, pa.int32()), parts), "")
+            texts = pc.binary_slice(joined.cast(pa.binary()), 0, -1).cast(pa.string())
+        return ids, ends[pieces.bounds], texts
 
     def _learn(self, pieces: list[str]) -> None:
         if max(map(len, pieces)) > self.leaf:
             ids = [encode_piece(self.tok, p, self.leaf)[:, 0].tolist() for p in pieces]
         else:
             ids = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-        flat, at = pack([i for x in ids for i in x]), 0
-        for x in ids:
-            self.ids.append(flat[at : at + 4 * len(x)])
-            at += 4 * len(x)
+        self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.uint32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids])])
         if self.decoded:
             self.texts += [t + " " if x else "" for t, x in zip(self.tok.decode_batch(ids, skip_special_tokens=False), ids)]
 
@@ -231,10 +257,6 @@ def special_texts(tok) -> list[str]:
 # The operator
 
 
-def _long_pieces(text: bytes, leaf: int) -> bool:
-    return len(text) > leaf and max(map(len, text.split()), default=0) > leaf
-
-
 def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
     """Ids and decoded text of every whole text: columns ``id``, ``ids`` (little-endian uint32), ``decoded``.
 
@@ -247,18 +269,23 @@ def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: s
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, schema = worker_words(path, True, leaf), None
-        for part, texts in slices(batches, "_text"):
+        for part in parts_of(batches, "_text"):
             schema = schema or pa.schema([("_id", part.schema.field("_id").type), ("ids", pa.binary()), ("decoded", pa.string())])
-            keep = [i for i, t in enumerate(texts) if not _long_pieces(t, leaf)]
-            if keep:
-                got = words.encode([texts[i] for i in keep])
-                yield batch_of(schema, part.column("_id").take(pa.array(keep)), [x[0] for x in got], [x[1] for x in got])
+            pieces = Pieces(part.column("_text"))
+            long = pieces.long_texts(leaf)
+            if long.any():
+                part = part.filter(pa.array(~long))
+                pieces = Pieces(part.column("_text"))
+            ids, bounds, decoded = words.encode(pieces)
+            flat = pa.py_buffer(ids.astype("<u4"))
+            rows = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((4 * bounds).astype(np.int32)), flat])
+            yield batch_of(schema, part.column("_id"), rows, decoded)
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "_text"):
-            keep = [i for i, t in enumerate(texts) if _long_pieces(t, leaf)]
-            if keep:
-                yield part.take(pa.array(keep))
+        for part in parts_of(batches, "_text"):
+            keep = Pieces(part.column("_text")).long_texts(leaf)
+            if keep.any():
+                yield part.filter(pa.array(keep))
 
     out = docs.mapInArrow(short, f"_id {id_type}, {ENCODED}")
     # Texts with a long unsplit piece: encoded once per text, piece by piece in rows of their own.

@@ -20,9 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regweave.llm.batches import batch_of, slices
-from regweave.llm.bpe import default_tokenizer, worker_words
-from regweave.llm.bpe import pack as pack_ids
+from regweave.llm.batches import batch_of, parts_of
+from regweave.llm.bpe import Pieces, default_tokenizer, worker_words
 from regweave.llm.catalog import query
 from regweave.session import shared_folder
 
@@ -127,14 +126,16 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, id: str
     # Texts are put in order before they are encoded, or finding the ranges would encode them once more.
     rows = rows.withColumn("_tie", F.xxhash64("_text"))
     rows = rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie").drop("_tie").withColumn("part", F.spark_partition_id())
-    end = pack_ids([end_id])
+    end = np.array([end_id], np.uint32)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("seg", pa.int32()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("data", pa.binary())])
         names, held, size, seg, part, words = [], [], 0, 0, 0, worker_words(path, False)
-        for rows, texts in slices(batches, "_text"):
-            for p, i, (ids, _) in zip(rows.column("part").to_pylist(), rows.column("_id").to_pylist(), words.encode(texts)):
-                part, doc = p, np.frombuffer(ids + end, "<u4")
+        for rows in parts_of(batches, "_text"):
+            ids, bounds, _ = words.encode(Pieces(rows.column("_text")))
+            at = bounds.tolist()
+            for p, i, a, b in zip(rows.column("part").to_pylist(), rows.column("_id").to_pylist(), at, at[1:]):
+                part, doc = p, np.concatenate([ids[a:b], end])
                 if names and size + len(doc) > segment_tokens:
                     yield batch_of(schema, [part], [seg], [size], [len(names)], [segment(names, held)])
                     names, held, size, seg = [], [], 0, seg + 1

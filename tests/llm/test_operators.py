@@ -7,11 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from regweave.llm import bpe, dac, decontam, langid, quality, shards, simhash, suffixes, templates, units
+from regweave.llm.batches import parts_of
 from regweave.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -188,6 +190,22 @@ def test_bpe_round_trip(edge, docs, texts, leaf):
         assert got == Counter((d, bpe.pack(w[0]), w[1]) for d, t in rows for w in [wanted(t)])
 
 
+def test_batches_of_texts_in_slices():
+    rng = random.Random(7)
+    signs = ["a", "Bc", " ", "\n", "\t", "\x0b", "\x1f", "\u00a0", "\u3000", "\u00e9", "'s", "!", "9", "x" * 30]
+    texts = [None if rng.random() < 0.1 else "".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(400)]
+    words, tok, seen = bpe.Words(bpe.default_tokenizer()), bpe.load(bpe.default_tokenizer()), 0
+    for part in parts_of([pa.record_batch({"t": pa.array(texts, pa.string())}).slice(3)], "t", rows=37, size=900):
+        pieces = bpe.Pieces(part.column("t"))
+        ids, bounds, decoded = words.encode(pieces)
+        for j, (t, long) in enumerate(zip(part.column("t").to_pylist(), pieces.long_texts(25))):
+            wanted = tok.encode(t or "", add_special_tokens=False).ids
+            assert ids[bounds[j] : bounds[j + 1]].tolist() == wanted and decoded[j].as_py() == tok.decode(wanted, skip_special_tokens=False)
+            assert long == (max(map(len, (t or "").encode().split()), default=0) > 25)
+            seen += 1
+    assert seen == 397
+
+
 def test_bpe_of_an_empty_table(empty):
     assert bpe.encode(empty).collect() == []
 
@@ -283,6 +301,18 @@ def test_language_of_held_out_documents(spark, edge, empty):
     assert langid.predict(edge, langid.fit(empty)).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_every_start_picks_one_piece_by_its_string_alone():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        length, piece, n = int(rng.integers(9, 40)), int(2 ** rng.integers(0, 4)), int(rng.integers(0, 300))
+        data = rng.integers(97, 97 + int(rng.integers(1, 4)), n).astype(np.uint8)
+        times, picks = np.zeros(max(0, n - length + 1), int), {}
+        for h, a, b in zip(*(x.tolist() for x in suffixes.picked(data, length, piece))):
+            times[a : b + 1] += 1
+            assert all(picks.setdefault(data[s : s + length].tobytes(), h) == h for s in range(a, b + 1))
+        assert (times == 1).all()
+
+
 def test_suffix_order_equals_sorting():
     rng = random.Random(3)
     for _ in range(150):
