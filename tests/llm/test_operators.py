@@ -12,7 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from regweave.llm import bpe, dac, decontam, langid, quality, shards, simhash, suffixes, templates, units
+import corpus_pipeline
+from regweave.llm import bpe, dac, decontam, jaccard, langid, quality, shards, simhash, suffixes, templates, units
 from regweave.llm.batches import parts_of
 from regweave.llm.components import components
 
@@ -81,6 +82,40 @@ def test_simhash_equals_brute_force(docs, texts):
     assert got == {d: (int(p), min(least[r])) for (d, _), p, r in zip(texts, prints, roots)}
 
 
+def test_jaccard_groups_equal_brute_force(spark, edge, empty):
+    random.seed(3)
+    words = [f"w{i}" for i in range(400)]
+    data = []
+    for _ in range(12):  # copies with changed words, chains of them, and a common passage in every third text
+        base = random.choices(words, k=random.choice([3, 5, 30, 60, 200]))
+        for n in range(9):
+            data.append(" ".join(base + (["common", "line"] * 20 if n % 3 == 0 else [])))
+            for _ in range(max(1, len(base) // 60)):
+                base[random.randrange(len(base))] = random.choice(words)
+    rows = list(enumerate(data))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, data)]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    linked = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    for i, j in linked:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    got = {r.doc_id: r.component for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: find(i) for i in got} and len(got) == len(rows) and 1 < len(set(got.values())) < len(rows)
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), SF)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
+    prints = np.array([simhash.fingerprint(t.encode()) for t in data], np.uint64)
+    assert any(np.bitwise_count(prints[i] ^ prints[j]) > 2 for i, j in linked)
+    assert jaccard.near_duplicates(empty).count() == 0
+    groups = Counter((r.root, r.component) for r in jaccard.near_duplicates(edge).collect())
+    assert sorted((str(c), n) for (_, c), n in groups.items()) == [("1", 2), ("2", 3), ("4", 1), ("6", 1), ("7", 1), ("None", 1)]
+
+
 @pytest.mark.parametrize("paired", [0, 64])
 def test_links_find_every_link_in_pairs_and_in_stars(spark, paired):
     rng = random.Random(5)
