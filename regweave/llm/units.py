@@ -2,6 +2,7 @@
 
 A unit is a run of words that ends where its content says so (a line break, or a word of every third by its
 checksum, once the run has seven words), so a repeated passage falls into the same units wherever it stands.
+Every line that is not blank is a unit too, whatever its length and whatever stands before it.
 Units are normalised (case, white space), hashed to 128 bits and grouped over the whole corpus.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -45,6 +46,28 @@ def units(text: str, words: int = WORDS, every: int = EVERY) -> list[tuple[int,
     return out
 
 
+def line_units(text: str) -> list[tuple[int, int, bytes]]:
+    """(start, end, digest) of the lines of a text that are not blank, in characters and without the white space around them."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        found = list(_WORD.finditer(line))
+        if found:
+            joined = b" ".join(m.group().lower().encode() for m in found)
+            out.append((at + found[0].start(), at + found[-1].end(), xxhash.xxh3_128_digest(joined)))
+        at += len(line) + 1
+    return out
+
+
+def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, every: int = EVERY) -> DataFrame:
+    """Repeated lines and repeated content-defined units, as in ``repeated_units``; the spans of the two may overlap.
+
+    Each occurrence points at an earlier one, so of every passage that is removed a copy stays.  A span that is
+    both a line and a unit is one row if both have the same first occurrence.
+    """
+    lines = _repeated(docs, id, text, line_units)
+    return lines.unionByName(repeated_units(docs, id, text, words, every)).distinct()
+
+
 def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, every: int = EVERY) -> DataFrame:
     """One row per unit to remove: ``id``, ``start``, ``end`` (characters of the original text), ``kept_id``, ``kept_start``.
 
@@ -52,13 +75,17 @@ def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     repeat an id with its text are one document, whose units do not remove each other's first occurrence; an
     empty table gives an empty table; other columns are not read.
     """
+    return _repeated(docs, id, text, lambda t: units(t, words, every))
+
+
+def _repeated(docs: DataFrame, id: str, text: str, units_of: Callable[[str], list[tuple[int, int, bytes]]]) -> DataFrame:
     docs = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "_text"):
             schema = pa.schema([("_id", part.schema.field("_id").type), ("start", pa.int32()), ("end", pa.int32()), ("digest", pa.binary())])
-            found = [units(t.decode(), words, every) for t in texts]
+            found = [units_of(t.decode()) for t in texts]
             owner = pa.array([i for i, u in enumerate(found) for _ in u], pa.int32())
             flat = [u for us in found for u in us]
             if flat:
@@ -75,6 +102,6 @@ def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text", word
 
 @query("op8_unit_dedup")
 def op8(t):
-    """Every unit of every document that an earlier one holds."""
-    out = repeated_units(t.documents)
+    """Every line and unit of every document that an earlier one holds."""
+    out = repeated_spans(t.documents)
     return out.select("doc_id", F.col("start").alias("span_start"), F.col("end").alias("span_end"), F.col("kept_id").alias("kept_doc_id"), "kept_start")

@@ -419,6 +419,28 @@ def test_units_against_brute_force(spark, docs, texts, edge, empty):
     assert {r.doc_id for r in units.repeated_units(edge).collect()} <= {7} and units.repeated_units(empty).count() == 0
 
 
+def test_repeated_lines_equal_brute_force(spark, docs, texts, edge, empty):
+    long = "the committee met again and the minutes of the last meeting were read and approved by all"
+    more = [(-3, f"Monday\n{long}\n--\nfirst"), (-2, f"a different speaker\n  {long.upper()}\n\nshort line\nsecond"), (-1, "Short  line\n--\nthird")]
+    rows = sorted([*texts, *more])
+    first, want = {}, set()
+    for d, t in rows:
+        at = 0
+        for line in t.split("\n"):
+            if key := tuple(w.lower() for w in re.findall(r"[^ \t-\r]+", line)):
+                a, b = at + len(line) - len(line.lstrip(" \t\r\v\f")), at + len(line.rstrip(" \t\r\v\f"))
+                kept = first.setdefault(key, (d, a))
+                if kept != (d, a):
+                    want.add((d, a, b, *kept))
+            at += len(line) + 1
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {tuple(r) for r in units.repeated_spans(table).collect()}
+    by_content = {tuple(r) for r in units.repeated_units(table).collect()}
+    assert got == want | by_content and want - by_content
+    assert {(-2, 22, 22 + len(long), -3, 7), (-1, 0, 11, -2, 24 + len(long))} <= got and all((k, s) < (d, a) for d, a, _, k, s in got)
+    assert {r.doc_id for r in units.repeated_spans(edge).collect()} <= {7} and units.repeated_spans(empty).count() == 0
+
+
 def test_alignment_equals_edit_distance():
     rng = random.Random(9)
     for _ in range(150):
