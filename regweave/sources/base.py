@@ -42,8 +42,9 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", line_sep
             reader = reader.option("lineSep", line_sep)
         lines = reader.text(path)
         return lines.select(F.regexp_replace("value", "\r$", "").alias("value"), file_order()).filter("value <> ''")
-    reader = spark.read.schema("value string").option("sep", "\x01").option("quote", "").option("escape", "")
-    return reader.option("encoding", encoding).csv(path).select("value", file_order()).filter("value <> ''")
+    # The bytes of the line as they are, so that no character of it separates cells.
+    lines = spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding).alias("value"), file_order())
+    return lines.filter(F.col("value").rlike(r"[^\x00-\x20]"))
 
 
 def read_lines_guessing(spark: SparkSession, path: str, fallback: str) -> DataFrame:
@@ -62,10 +63,13 @@ def read_lines_guessing(spark: SparkSession, path: str, fallback: str) -> DataFr
     return raw.select(F.regexp_replace(text, "^\ufeff", "").alias("value"), "_ord")
 
 
-def sniff_header(spark: SparkSession, path: str, size: int = 4096) -> bytes:
-    """First bytes of one file (header detection on the driver)."""
-    content = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, size)).first()
-    return bytes(content[0]).split(b"\n", 1)[0]
+def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
+    """First line of every file, its bytes as ISO-8859-1 text; each read stops there."""
+    firsts = {}
+    for name in spark.read.text(path).inputFiles():
+        if (first := read_lines(spark, name, "ISO-8859-1").first()) is not None:
+            firsts[first["_ord"]["path"]] = first["value"]
+    return firsts
 
 
 def split_delimited(lines: DataFrame, sep: str) -> DataFrame:

@@ -201,10 +201,8 @@ def summit_records(rows: DataFrame, as_of: str, synced_at: str | None = None) ->
 
 
 def read_summits(spark: SparkSession, path: str, as_of: str, synced_at: str | None = None) -> DataFrame:
-    """CSV with a title line above its header."""
+    """CSV files with a title line above their headers."""
     lines = base.read_lines(spark, path).filter(~F.ltrim("value").startswith(SUMMIT_TITLE))
     rows = base.quoted_cells(lines, ",")
-    head = rows.limit(1).collect()  # the header stands in the first two lines
-    heads = {r["_ord"]["path"]: [c or "" for c in r["cells"]] for r in head}
-    rows = base.by_header(rows, dict.fromkeys(SUMMIT_COLUMNS), heads=heads)
+    rows = base.by_header(rows, dict.fromkeys(SUMMIT_COLUMNS))
     return summit_records(rows, as_of, synced_at)

@@ -288,14 +288,16 @@ def no_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
 
 
 def read_no(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
-    """Semicolon CSV without quoting; the code page follows from the header bytes."""
-    head = base.sniff_header(spark, path)
-    if head.startswith(b"\xef\xbb\xbf") or "ø".encode() in head:
-        lines = base.read_lines(spark, path)
-    else:
-        codec = "cp1252" if b"\xf8" in head else "cp865"
-        lines = base.read_lines(spark, path, "ISO-8859-1")
-        lines = lines.withColumn("value", base.byte_translate(F.col("value"), codec))
+    """Semicolon CSV without quoting; the code page of each file follows from the bytes of its header."""
+    lines = base.read_lines(spark, path, "ISO-8859-1")
+    utf8 = "ø".encode().decode("latin-1")
+    pages: dict[str, list[str]] = {}
+    for name, head in base.first_lines(spark, path).items():
+        pages.setdefault("UTF-8" if utf8 in head else "cp1252" if "\xf8" in head else "cp865", []).append(name)
+    text = F.encode("value", "ISO-8859-1").cast("string")
+    for codec in pages.keys() - {"UTF-8"}:
+        text = F.when(F.col("_ord.path").isin(pages[codec]), base.byte_translate(F.col("value"), codec)).otherwise(text)
+    lines = lines.withColumn("value", text)
     rows = base.split_delimited(lines, ";")
     return no_records(base.by_header(rows, dict.fromkeys(NO_COLUMNS), required=NO_COLUMNS), synced_at)
 

@@ -329,3 +329,21 @@ def test_quoted_cells(spark):
     lines = spark.createDataFrame([(',a,"b, ""c""",', 0), ('"x";y', 1), ("", 2)], "value string, k long").withColumn("_ord", base.table_order("k"))
     got = [r.cells for r in base.quoted_cells(lines, ",").orderBy("_ord").collect()]
     assert got == [["", "a", 'b, "c"', ""], ["x;y"], [""]]
+
+
+def test_every_file_has_its_own_header_and_code_page(spark, tmp_path):
+    head, blank = ";".join(registers.NO_COLUMNS), ";" * 9
+    long = "".join(f";Ekstra {i:05d}" for i in range(500))  # over 4,096 bytes
+    for call, codec, names in (("LA1AA", "utf-8", head), ("LA2BB", "cp1252", head), ("LA3CC", "cp865", head), ("LA4DD", "cp1252", "Nr" + long + ";" + head)):
+        row = f"{call};;Kåre;Ås{blank[:-2]}"
+        put(tmp_path / "no" / f"{call}.csv", names + "\n" + (";" * 501 if names != head else "") + row + "\n", codec)
+    assert rows(registers.read_no(spark, str(tmp_path / "no")), "callsign", "first_name", "last_name") == [
+        (c, "Kåre", "Ås") for c in ("LA1AA", "LA2BB", "LA3CC", "LA4DD")]
+    lines = base.read_lines(spark, put(tmp_path / "x.txt", b"a\x01b\xe9\r\n \n\n\x01c\n"), "ISO-8859-1")
+    assert sorted(r.value for r in lines.collect()) == ["\x01c", "a\x01bé"]
+    summit = dict.fromkeys(reference.SUMMIT_COLUMNS, "") | {"AltM": "978", "SummitName": "Peak", "ValidFrom": "01/07/2002"}
+    for code, names in (("G/1", reference.SUMMIT_COLUMNS), ("W/2", reference.SUMMIT_COLUMNS[::-1])):
+        cells = summit | {"SummitCode": code}
+        put(tmp_path / "s" / f"{code[0]}.csv", "SOTA Summits List (Date=18/06/2026)\n" + ",".join(names) + "\n" + ",".join(cells[n] for n in names) + "\n")
+    got = rows(reference.read_summits(spark, str(tmp_path / "s"), "2026-06-18"), "reference", "alt_m", "valid_from", order="reference")
+    assert got == [("G/1", 978, "2002-07-01"), ("W/2", 978, "2002-07-01")]
