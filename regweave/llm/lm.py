@@ -135,7 +135,7 @@ def encode(docs: DataFrame, keys: np.ndarray, logs: np.ndarray, known: bool) ->
                 raise ValueError("a text of over 2^30 words")
             column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(line.astype("<u2").tobytes())])
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), part.column("_held"), column, pa.array(sizes + 1), pa.array(n_known.astype(np.int64)), pa.array(n_out.astype(np.int64)), pa.array(base), pa.array(base_out),
+                [part.column("_id"), part.column("_held"), column, pa.array(sizes + 1), pa.array(n_known.astype(np.int64)), pa.array(n_out.astype(np.int64)), pa.array(base.astype(float)), pa.array(base_out.astype(float)),
                  pa.ListArray.from_arrays(rare_ends, pa.array(hashes)), pa.ListArray.from_arrays(rare_ends, pa.array(times.astype(np.int64)))],
                 names=["_id", "_held", "ids", "n", "known", "n_out", "base", "base_out", "rare_h", "rare_n"])
             if len(words) > REMEMBERED or len(words.hashes) > REMEMBERED:
