@@ -2,8 +2,9 @@
 
 Groups (equal texts) are the atoms, ordered by a hash.  The smallest capacity that lets a greedy walk put the
 ordered groups into the shards is found by binary search.  The walk needs the sizes of single groups only near
-the possible cuts, so the search runs over a histogram of the order that is refined there, level by level:
-what reaches the driver is bounded by the buckets of the histogram, not by the groups.
+the possible cuts, so the search runs over a histogram of the order that is refined there, level by level.  The
+driver gets 2^12 buckets, and 2^6 for each refined one: fewer than 2^11 heavy ones a level, then those in the windows
+of the cuts, which are at most shards^2 buckets of a 2^11th wide; the groups' number does not enter.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from regweave.session import stored
 
 #: Bits of the order hash, of the first histogram and of each refinement.
 ORDER_BITS, FIRST_BITS, MORE_BITS = 63, 12, 6
+#: A bucket of several groups with more than one byte in so many is refined before any cut is looked for.
+HEAVY = 2048
 
 
 def order_of(text: Column) -> Column:
@@ -77,20 +80,31 @@ def even_cuts(ends: list[int], capacity: int, shards: int) -> list[int]:
     return cuts
 
 
-def _histogram(groups: DataFrame, bits: int, ranges: list[tuple[int, int]] | None = None) -> list[tuple[int, int, int]]:
-    """(first order value, bytes, groups) of each bucket of ``2 ** bits`` order values, in order."""
-    if ranges is not None:
-        wanted = F.lit(False)
-        for lo, hi in ranges:
-            wanted |= F.col("order").between(lo, hi)
-        groups = groups.filter(wanted)
+#: (first order value, bytes, groups, bits) of one bucket of the histogram.
+Piece = tuple[int, int, int, int]
+
+
+def _histogram(groups: DataFrame, bits: int, inside: tuple[int, list[int]] | None = None) -> list[Piece]:
+    """Buckets of ``2 ** bits`` order values; with ``inside`` = (bits, numbers) only those within these wider buckets."""
+    if inside is not None:
+        groups = groups.filter(F.expr(f"shiftright(`order`, {ORDER_BITS - inside[0]}) IN ({', '.join(map(str, inside[1]))})"))
     width = ORDER_BITS - bits
     bucket = F.shiftright("order", width).alias("b")
     rows = groups.groupBy(bucket).agg(F.sum("bytes"), F.count("*"), F.min("order")).collect()
-    return sorted((r[3] if r[2] == 1 else r[0] << width, r[1], r[2]) for r in rows)
+    return sorted((r[3] if r[2] == 1 else r[0] << width, r[1], r[2], bits) for r in rows)
+
+
+def _refined(groups: DataFrame, pieces: list[Piece], split: list[int]) -> list[Piece]:
+    """The pieces with those at ``split`` replaced by finer buckets, each from its own width on."""
+    gone, wider = set(split), {}
+    for i in split:
+        bits = pieces[i][3]
+        wider.setdefault(bits, []).append(pieces[i][0] >> (ORDER_BITS - bits))
+    finer = [p for bits, numbers in sorted(wider.items()) for p in _histogram(groups, min(ORDER_BITS, bits + MORE_BITS), (bits, numbers))]
+    return sorted([p for i, p in enumerate(pieces) if i not in gone] + finer)
 
 
-def _windows(pieces: list[tuple[int, int, int]], shards: int, low: int, high: int) -> list[tuple[int, int]]:
+def _windows(pieces: list[Piece], shards: int, low: int, high: int) -> list[tuple[int, int]]:
     """Size positions between which each cut of any walk with a capacity from ``low`` to ``high`` lies."""
     ends, total = [], 0
     for p in pieces:
@@ -121,33 +135,24 @@ def plan(groups: DataFrame, shards: int) -> tuple[list[int], list[int], int]:
         rest, left = rest - r.bytes, left - 1
     if alone:
         groups = groups.filter(~F.col("order").isin(alone))
-    bits = FIRST_BITS
-    pieces = _histogram(groups, bits)
+    pieces = _histogram(groups, FIRST_BITS)
     if not pieces:
         return alone, [], 0
     while True:
-        high = smallest_capacity([p[1] for p in pieces], left)
-        low = max([-(-rest // left), *(p[1] for p in pieces if p[2] == 1)])
-        windows = _windows(pieces, left, low, high)
-        split, end = [], 0
-        for i, (first, size, n) in enumerate(pieces):
-            start, end = end, end + size
-            if n > 1 and any(start < hi and end > lo for lo, hi in windows):
-                split.append(i)
-        if not split or bits >= ORDER_BITS:
+        # Heavy buckets first: they would widen the windows, and fewer than HEAVY of them can exist.
+        split = [i for i, (_, size, n, bits) in enumerate(pieces) if n > 1 and bits < ORDER_BITS and size * HEAVY > rest]
+        if not split:
+            high = smallest_capacity([p[1] for p in pieces], left)
+            low = max([-(-rest // left), *(p[1] for p in pieces if p[2] == 1)])
+            windows, end = _windows(pieces, left, low, high), 0
+            for i, (_, size, n, bits) in enumerate(pieces):
+                start, end = end, end + size
+                if n > 1 and bits < ORDER_BITS and any(start < hi and end > lo for lo, hi in windows):
+                    split.append(i)
+        if not split:
             break
-        width = ORDER_BITS - bits
-        ranges: list[tuple[int, int]] = []
-        for i in split:
-            lo = pieces[i][0] >> width << width
-            if ranges and ranges[-1][1] == lo - 1:
-                ranges[-1] = ranges[-1][0], lo + (1 << width) - 1
-            else:
-                ranges.append((lo, lo + (1 << width) - 1))
-        gone = set(split)
-        bits = min(ORDER_BITS, bits + MORE_BITS)
-        # Buckets of older, wider levels stay whole; only those that a cut may fall into are refined.
-        pieces = sorted([p for i, p in enumerate(pieces) if i not in gone] + _histogram(groups, bits, ranges))
+        # Buckets that no cut can fall into stay whole.
+        pieces = _refined(groups, pieces, split)
     sizes = [p[1] for p in pieces]
     capacity, ends, running = smallest_capacity(sizes, left), [], 0
     for s in sizes:

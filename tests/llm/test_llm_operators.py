@@ -478,3 +478,33 @@ def test_decontamination(spark, docs, texts, edge, empty):
     assert {r.doc_id for r in decontam.contaminated(edge, short).collect()} == {1}
     blocks = {tuple(r) for r in decontam.contaminated(docs, benchmark, block_bytes=500).collect()}
     assert blocks == got
+
+
+@pytest.mark.parametrize("hot", [40, 100, 3])
+def test_the_plan_has_the_smallest_capacity_over_all_groups(spark, hot, monkeypatch):
+    """Tens of thousands of groups, one with a fortieth (or a third) of all rows; every histogram is seen."""
+    seen = []
+    refined = shards._refined
+    monkeypatch.setattr(shards, "_refined", lambda g, p, s: seen.append(len(s)) or refined(g, p, s))
+    rng = random.Random(hot)
+    sizes = [rng.choice([1, 3, 40, 900]) for _ in range(51_000)] + [0]
+    sizes[-1] = sum(sizes) // (hot - 1)
+    orders = rng.sample(range(1 << 50), len(sizes) - 1)
+    rows = [(o << 13, s) for o, s in zip(orders, sizes)] + [((orders[77] << 13) + 1, sizes[-1])]
+    alone, firsts, capacity = shards.plan(spark.createDataFrame(rows, "order bigint, bytes bigint").repartition(8), 16)
+    left = sorted(r for r in rows if r[0] not in alone)
+    assert capacity == shards.smallest_capacity([s for _, s in left], 16 - len(alone))
+    loads = Counter()
+    for o, s in left:
+        loads[sum(o >= f for f in firsts)] += s
+    assert max(loads.values()) <= capacity and sum(seen) < 20_000
+
+
+def test_thousands_of_buckets_are_refined_in_one_filter(spark):
+    rows = [(i << 49, 1 + i % 7) for i in range(1 << 13)] + [((i << 49) + 5, 2) for i in range(1 << 13)]
+    groups = spark.createDataFrame(rows, "order bigint, bytes bigint")
+    pieces = shards._histogram(groups, 12)
+    assert len(pieces) == 2048 and all(p[2] == 8 for p in pieces)
+    fine = shards._refined(groups, pieces, list(range(2048)))
+    assert sum(p[1] for p in fine) == sum(s for _, s in rows) and len(fine) == 1 << 13
+    assert sum(p[1] for p in shards._refined(groups, fine, [0, 3])) == sum(s for _, s in rows)
