@@ -12,8 +12,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry
 from check_oracles import TABLES, plain
 
+from regweave.plans import load_queries
+
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load_queries()
 
 
 @pytest.fixture(scope="module")
