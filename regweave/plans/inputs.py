@@ -64,20 +64,16 @@ cased AS (
 """
 
 
-def customer_state(t: Tables, cut: str, years_back: int = 3) -> DataFrame:
+def customer_state(t: Tables, cut: str) -> DataFrame:
     """Snapshot of customers at a cut date, from their latest order before it.
 
-    Customers without an order in the last years are absent, so holders vanish.
+    Customers whose latest order is pending are absent, so holders vanish and come back.
     """
-    day = iso_day("o_orderdate")
-    start = f"{int(cut[:4]) - years_back}{cut[4:]}"
-    orders = t.orders.select("o_custkey", "o_orderkey", day.alias("day"), "o_orderstatus", "o_orderpriority").filter(
-        (F.col("day") < cut) & (F.col("day") >= start)
-    )
+    orders = t.orders.select("o_custkey", "o_orderkey", iso_day("o_orderdate").alias("day"), "o_orderstatus", "o_orderpriority").filter(F.col("day") < cut)
     last = orders.groupBy("o_custkey").agg(
         F.max_by(F.struct("o_orderstatus", "o_orderpriority"), F.struct("day", "o_orderkey")).alias("s")
     )
-    who = last.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn("_ord", table_order("c_custkey"))
+    who = last.filter("s.o_orderstatus <> 'P'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn("_ord", table_order("c_custkey"))
     state = records(
         who, "", cut, callsign=call_of("c_custkey"), last_name=F.col("c_name"), city=F.col("s.o_orderpriority"),
         postal_code=F.concat(F.lit("k1a "), F.col("c_custkey").cast("string")), license_class=F.col("s.o_orderstatus"),
@@ -87,17 +83,16 @@ def customer_state(t: Tables, cut: str, years_back: int = 3) -> DataFrame:
     return state.drop("_ord")
 
 
-def state_sql(name: str, cut: str, years_back: int = 3) -> str:
+def state_sql(name: str, cut: str) -> str:
     """The snapshot as a CTE."""
-    start = f"{int(cut[:4]) - years_back}{cut[4:]}"
     return f"""
 {name} AS (
   SELECT 'K' || c_custkey AS callsign, c_name AS last_name, o_orderpriority AS city, 'k1a ' || c_custkey AS postal_code,
          o_orderstatus AS license_class, CASE WHEN c_nationkey % 2 = 0 THEN c_nationkey END AS dxcc,
          CASE c_custkey % 3 WHEN 0 THEN 'acma' WHEN 1 THEN 'ised' ELSE 'fcc' END AS source
   FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-        FROM orders WHERE strftime(o_orderdate, '%Y-%m-%d') < '{cut}' AND strftime(o_orderdate, '%Y-%m-%d') >= '{start}')
-  JOIN customer ON o_custkey = c_custkey WHERE rn = 1)"""
+        FROM orders WHERE strftime(o_orderdate, '%Y-%m-%d') < '{cut}')
+  JOIN customer ON o_custkey = c_custkey WHERE rn = 1 AND o_orderstatus <> 'P')"""
 
 
 def fold_sql(out: str, prior: str, snap: str, as_of: str) -> str:

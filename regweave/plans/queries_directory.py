@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regweave.functions.labels import row_license, wire_name
@@ -25,24 +25,29 @@ from regweave.schemas import REFLECTOR, conform
 from regweave.sources.base import table_order
 
 REGISTRY_SQL = """
-reg AS (SELECT p_partkey AS k, CASE WHEN p_partkey < 1000 THEN 'XLX' || lpad(p_partkey::VARCHAR, 3, '0') ELSE 'R' || p_partkey END AS id,
-   'h' || (p_partkey * 7 % 1000) AS host, p_name AS name,
-   CASE WHEN p_partkey < 1000 THEN 'XRF' || lpad(p_partkey::VARCHAR, 3, '0') END AS wire FROM part)"""
+reg AS (SELECT p_partkey AS k, 'XLX' || to_base(p_partkey, 36, 3) AS id, 'h' || (p_partkey * 7) AS host, p_name AS name,
+   CASE WHEN length(to_base(p_partkey, 36, 3)) = 3 THEN 'XRF' || to_base(p_partkey, 36, 3) END AS wire FROM part)"""
 HOSTS_SQL = """
-hst AS (SELECT id, host FROM (SELECT 'XRF' || lpad((c_custkey % 1000)::VARCHAR, 3, '0') AS id, 'h' || (c_custkey * 3) AS host,
-   row_number() OVER (PARTITION BY c_custkey % 1000 ORDER BY c_custkey) AS rn FROM customer
+hst AS (SELECT id, host FROM (SELECT 'XRF' || to_base(c_custkey // 2, 36, 3) AS id, 'h' || (c_custkey * 3) AS host,
+   row_number() OVER (PARTITION BY c_custkey // 2 ORDER BY c_custkey) AS rn FROM customer
    WHERE 'h' || (c_custkey * 3) NOT IN (SELECT host FROM reg)) WHERE rn = 1)"""
 
 
+def suffix(key: Column) -> Column:
+    """A key in digits and letters, three characters at least: the name space of reflectors."""
+    text = F.conv(key.cast("string"), 10, 36)
+    return F.when(F.length(text) < 3, F.lpad(text, 3, "0")).otherwise(text)
+
+
 def registry(t: Tables) -> DataFrame:
     """Part as the registry: ids with a derived wire name as alias."""
     k = F.col("p_partkey")
-    ident = F.when(k < 1000, F.concat(F.lit("XLX"), F.lpad(k.cast("string"), 3, "0"))).otherwise(F.concat(F.lit("R"), k))
+    ident = F.concat(F.lit("XLX"), suffix(k))
     wire = wire_name(ident)
     rows = t.part.select(
         ident.alias("id"), F.lit("dstar").alias("network"), F.col("p_name").alias("name"),
         F.when(wire.isNotNull(), F.array(wire)).otherwise(F.array().cast("array<string>")).alias("aliases"), wire.alias("callsign"),
-        F.concat(F.lit("h"), k * 7 % 1000).alias("host"), F.lit(30001).cast("bigint").alias("port"), F.lit("xlx").alias("source"),
+        F.concat(F.lit("h"), k * 7).alias("host"), F.lit(30001).cast("bigint").alias("port"), F.lit("xlx").alias("source"),
         F.lit("2024-01-05").alias("synced_at"),
     )
     return conform(sanitise(rows.withColumn("sponsor", F.lit(None).cast("string")).withColumn("description", F.lit(None).cast("string"))), REFLECTOR)
@@ -51,7 +56,7 @@ def registry(t: Tables) -> DataFrame:
 def standalone(t: Tables) -> DataFrame:
     """Customers as host-file rows, with their order."""
     k = F.col("c_custkey")
-    name = F.concat(F.lit("XRF"), F.lpad((k % 1000).cast("string"), 3, "0"))
+    name = F.concat(F.lit("XRF"), suffix(F.floor(k / 2)))
     rows = t.customer.select(
         name.alias("id"), F.lit("dstar").alias("network"), name.alias("name"), name.alias("callsign"), F.concat(F.lit("h"), k * 3).alias("host"),
         F.lit(30001).cast("bigint").alias("port"), F.lit("dextra").alias("source"), F.lit("2024-01-06").alias("synced_at"), table_order("c_custkey"),
@@ -64,10 +69,10 @@ def standalone(t: Tables) -> DataFrame:
 def alias_names(t: Tables) -> DataFrame:
     """Suppliers as host-file names of two name spaces and a refused one."""
     k = F.col("s_suppkey")
-    number = F.lpad((k % 1000).cast("string"), 3, "0")
+    number = suffix(k)
     names = F.array(F.concat(F.lit("DCS"), number), F.concat(F.lit("REF"), number), F.concat(F.lit("DB0"), number), F.concat(F.lit("XLX"), number))
     return t.supplier.select(
-        F.concat(F.lit("h"), k * 7 % 50).alias("host"), F.posexplode(names).alias("pos", "name"), k.alias("k")
+        F.concat(F.lit("h"), F.floor(k / 3) * 7).alias("host"), F.posexplode(names).alias("pos", "name"), k.alias("k")
     ).select("host", "name", F.struct("k", "pos").alias("_ord"))
 
 
@@ -91,7 +96,8 @@ def priority_union(t: Tables) -> DataFrame:
 
 
 ALIAS_SQL = """
-nm AS (SELECT 'h' || (s_suppkey * 7 % 50) AS host, s_suppkey AS k, lpad((s_suppkey % 1000)::VARCHAR, 3, '0') AS d FROM supplier),
+nm AS (SELECT 'h' || (s_suppkey // 3 * 7) AS host, s_suppkey AS k, to_base(s_suppkey, 36, 3) AS d FROM supplier
+   WHERE length(to_base(s_suppkey, 36, 3)) = 3),
 al AS (SELECT host, min(k * 10 + j) AS o, name FROM (
    SELECT host, k, 0 AS j, 'DCS' || d AS name FROM nm UNION ALL SELECT host, k, 1, 'REF' || d FROM nm) GROUP BY host, name),
 lists AS (SELECT host, list(name ORDER BY o) AS names FROM al GROUP BY 1)"""
@@ -309,7 +315,8 @@ PERIOD_SQL = """
 ev AS (SELECT event_id, user_id, event_type AS network, CASE WHEN user_id % 10 = 0 AND event_type = 'error' THEN 'dextra' WHEN user_id % 2 = 0 THEN 'xlx' ELSE 'dvref' END AS source,
    strftime(ts, '%Y-%m-%d') AS day, value FROM events),
 prev AS (SELECT * FROM ev WHERE day < '2024-01-15'),
-fresh AS (SELECT * FROM ev WHERE day >= '2024-01-15' AND network <> 'view' AND source <> 'dextra' AND NOT (network = 'click' AND day > '2024-01-22')),
+fresh AS (SELECT event_id, user_id, CASE WHEN network = 'view' OR (network = 'click' AND day > '2024-01-19') THEN 'purchase' ELSE network END AS network,
+   CASE WHEN source = 'dextra' THEN 'xlx' ELSE source END AS source, day, value FROM ev WHERE day >= '2024-01-15'),
 pc AS (SELECT network, source, count(*) AS n FROM prev GROUP BY 1, 2), fc AS (SELECT network, source, count(*) AS n FROM fresh GROUP BY 1, 2),
 lost AS (SELECT network, source FROM pc WHERE network IN (SELECT network FROM fc) AND (network, source) NOT IN (SELECT (network, source) FROM fc)),
 b AS (SELECT coalesce(p.network, f.network) AS network, coalesce(p.n, 0) AS previous, coalesce(f.n, 0) AS fresh,
@@ -322,7 +329,10 @@ def _periods(t: Tables) -> tuple[DataFrame, DataFrame]:
     source = F.when((F.col("user_id") % 10 == 0) & (F.col("event_type") == "error"), "dextra").when(F.col("user_id") % 2 == 0, "xlx").otherwise("dvref")
     ev = t.events.select("event_id", "user_id", F.col("event_type").alias("network"), source.alias("source"), iso_day("ts").alias("day"), "value")
     prev = ev.filter("day < '2024-01-15'")
-    fresh = ev.filter("day >= '2024-01-15' and network <> 'view' and source <> 'dextra' and not (network = 'click' and day > '2024-01-22')")
+    # Rows that changed their network or source leave some without rows, or with too few.
+    moved = (F.col("network") == "view") | ((F.col("network") == "click") & (F.col("day") > "2024-01-19"))
+    fresh = ev.filter("day >= '2024-01-15'").withColumn("network", F.when(moved, "purchase").otherwise(F.col("network"))).withColumn(
+        "source", F.when(F.col("source") == "dextra", "xlx").otherwise(F.col("source")))
     return prev, fresh
 
 

@@ -233,7 +233,7 @@ def longest_prefix(t: Tables) -> DataFrame:
 @query("list_enrich", """
 SELECT 'K' || o_orderkey AS callsign, coalesce(nodes, '') AS nodes, coalesce(n, 0)::BIGINT AS n FROM orders LEFT JOIN (
   SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT l_suppkey)), ',') AS nodes, count(DISTINCT l_suppkey) AS n
-  FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1) ON l_orderkey = o_orderkey""")
+  FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def list_enrich(t: Tables) -> DataFrame:
     """Sorted distinct list per key, empty where there is none."""
     return _with_nodes(t).select(
@@ -244,7 +244,7 @@ def list_enrich(t: Tables) -> DataFrame:
 def _with_nodes(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey").withColumn("_ord", table_order("o_orderkey"))
     base = records(orders, "x", None, callsign=call_of("o_orderkey")).drop("_ord")
-    nodes = t.lineitem.filter("l_returnflag <> 'A'").select(call_of("l_orderkey").alias("callsign"), F.col("l_suppkey").alias("node"))
+    nodes = t.lineitem.select(call_of("l_orderkey").alias("callsign"), F.col("l_suppkey").alias("node"))
     return attach_nodes(base, nodes)
 
 
@@ -466,7 +466,7 @@ def interval_ids_query(t: Tables) -> DataFrame:
 
 @query("explode_nodes", """
 SELECT 'K' || o_orderkey AS callsign, o_orderkey AS id, l_suppkey AS node FROM orders JOIN (
-  SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'A') ON l_orderkey = o_orderkey""")
+  SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) ON l_orderkey = o_orderkey""")
 def explode_nodes(t: Tables) -> DataFrame:
     """List column as child rows, joined back on the id."""
     with_ids = _with_nodes(t).withColumn("id", F.substring("callsign", 2, 20).cast("bigint"))

@@ -14,10 +14,9 @@ from regweave.session import stored
 
 # Outer box (x0, y0, w, h) with a hole in its middle, and a second part, a small box east
 # of it.  All numbers are short binary fractions, so both engines compute the same floats.
-# Eight boundaries share a name, and boundaries get small beyond the first thousand, so
-# that the overlap per place does not grow with the tables.
+# Eight boundaries share a name.
 FEATURE_SQL = """
-feat AS (SELECT s_suppkey AS f, s_suppkey // 8 AS nk, CASE WHEN s_suppkey < 1000 THEN 1.0::DOUBLE ELSE 0.0625::DOUBLE END AS s,
+feat AS (SELECT s_suppkey AS f, s_suppkey // 8 AS nk, 1.0::DOUBLE AS s,
   ((s_suppkey * 37) % 300 - 170)::DOUBLE + 0.25 + (s_suppkey // 300 % 512)::DOUBLE / 1024 AS x0, ((s_suppkey * 53) % 150 - 85)::DOUBLE + 0.5 AS y0 FROM supplier),
 size_ AS (SELECT *, s * pow(2, f % 4 + 2) AS w, s * pow(2, f % 3 + 1) AS h FROM feat),
 box AS (SELECT *, x0 + w AS x1, y0 + h AS y1, x0 + w / 4 AS hx0, x0 + 3 * w / 4 AS hx1, y0 + h / 4 AS hy0, y0 + 3 * h / 4 AS hy1,
@@ -45,7 +44,7 @@ def features(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     x0 = ((k * 37) % 300 - 170).cast("double") + 0.25 + (F.floor(k / 300) % 512).cast("double") / 1024
     y0 = ((k * 53) % 150 - 85).cast("double") + 0.5
-    s = F.when(k < 1000, 1.0).otherwise(0.0625)
+    s = F.lit(1.0)
     w, h = s * F.pow(F.lit(2.0), k % 4 + 2), s * F.pow(F.lit(2.0), k % 3 + 1)
     part = lambda n, ring: F.struct(F.lit(n).alias("part"), ring.alias("ring"))
     rings = F.array(
