@@ -16,7 +16,7 @@ CLASSES, MEMBERS, WIDTH = 32, 64, 16
 #: Ids with a fixed meaning: end of a document, any word outside the model's vocabulary.
 END, RARE = 0, 1
 #: Lanes and steps of a training window; lanes and steps of a scoring window; rate of learning.
-LANES, STEPS, WIDE, LONG, RATE = 256, 32, 512, 24, 0.01
+LANES, STEPS, WIDE, LONG, RATE = 512, 16, 512, 24, 0.01
 
 Model = dict[str, np.ndarray]
 
@@ -100,15 +100,11 @@ def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return got - np.log(logits @ np.ones(logits.shape[1], np.float32) + np.float32(1e-30))
 
 
-def _by_class(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, positions) of the ids of each class."""
-    kind = ids // MEMBERS
-    order = np.argsort(kind, kind="stable")
-    ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
-    for c in range(CLASSES):
-        lo = ends[c - 1] if c else 0
-        if ends[c] > lo:
-            yield c, order[lo : ends[c]]
+def _by_class(ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Positions in order of their class, and (class, first, end) of each class that occurs."""
+    kind = (ids // MEMBERS).astype(np.uint8)
+    ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
+    return np.argsort(kind, kind="stable"), [(c, lo, hi) for c, (lo, hi) in enumerate(zip([0, *ends], ends)) if hi > lo]
 
 
 def _windows(line: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -137,6 +133,7 @@ def train(model: Model, line: np.ndarray, rate: float = RATE) -> Model:
     model = {k: v.copy() for k, v in model.items()}
     first, second = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
     w, h = WIDTH, None
+    every, ones = np.arange(LANES * STEPS), np.ones(LANES * STEPS, np.float32)
     for turn, (given, goal, used) in enumerate(_windows(line), 1):
         shape, words = given.shape, given.ravel()
         h = np.zeros((shape[1], w), np.float32) if h is None else h
@@ -155,13 +152,19 @@ def train(model: Model, line: np.ndarray, rate: float = RATE) -> Model:
         p *= scale
         grad["wc"], grad["bc"] = hs.T @ p, p.sum(axis=0)
         dl = p @ model["wc"].T
-        for c, rows in _by_class(ids):
-            own = hs[rows]
-            q = _softmax(own @ model["ww"][c].T + model["bw"][c])
-            q[np.arange(len(rows)), ids[rows] % MEMBERS] -= 1
+        rows, spans = _by_class(ids)
+        ranked, own_id, pulls = hs[rows], ids[rows] % MEMBERS, np.empty_like(hs)
+        for c, lo, hi in spans:
+            own = ranked[lo:hi]
+            q = own @ model["ww"][c].T
+            q += model["bw"][c]
+            _softmax(q)
+            q[every[: hi - lo], own_id[lo:hi]] -= 1
             q *= scale
-            grad["ww"][c], grad["bw"][c] = q.T @ own, q.sum(axis=0)
-            dl[rows] += q @ model["ww"][c]
+            np.matmul(q.T, own, out=grad["ww"][c])
+            np.matmul(ones[: hi - lo], q, out=grad["bw"][c])
+            np.matmul(q, model["ww"][c], out=pulls[lo:hi])
+        dl[rows] += pulls
         dh = np.zeros((len(words), w), np.float32)
         dh[live] = dl
         dh = dh.reshape(*shape, w)
@@ -183,10 +186,9 @@ def train(model: Model, line: np.ndarray, rate: float = RATE) -> Model:
         grad["wh"] = before.reshape(-1, w).T @ du.reshape(-1, 3 * w)
         dx = dx.reshape(-1, 3 * w)
         grad["wx"], grad["b"] = e.T @ dx, dx.sum(axis=0)
-        de, order = dx @ model["wx"].T, np.argsort(words, kind="stable")
-        words = words[order]
-        turns = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
-        grad["emb"][words[turns]] = np.add.reduceat(de[order], turns, axis=0)
+        de = dx @ model["wx"].T
+        for k in range(w):
+            grad["emb"][:, k] = np.bincount(words, weights=de[:, k], minlength=CLASSES * MEMBERS)
         size = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
         cut = np.float32(min(1.0, 1.0 / max(size, 1e-9)))
         step = np.float32(rate * np.sqrt(1 - 0.99**turn) / (1 - 0.9**turn))
@@ -250,7 +252,10 @@ class Scorer:
             live = np.flatnonzero(on.ravel())
             hs, ids = states.reshape(-1, WIDTH)[live], goal.ravel()[live]
             logs = _picked(hs @ model["wc"] + model["bc"], ids // MEMBERS).astype(np.float64)
-            for c, rows in _by_class(ids):
-                logs[rows] += _picked(hs[rows] @ model["ww"][c].T + model["bw"][c], ids[rows] % MEMBERS)
+            rows, spans = _by_class(ids)
+            ranked, own_id, inside = hs[rows], ids[rows] % MEMBERS, np.empty(len(rows))
+            for c, lo, hi in spans:
+                inside[lo:hi] = _picked(ranked[lo:hi] @ model["ww"][c].T + model["bw"][c], own_id[lo:hi])
+            logs[rows] += inside
             out += np.bincount(owner[here.ravel()[live]], weights=logs, minlength=len(texts))
         return out

@@ -7,17 +7,16 @@ words and one RARE class; within RARE a word has its share of the unigram law, s
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regweave.llm import gru
-from regweave.llm.batches import slices
+from regweave.llm.batches import parts_of, slices
 from regweave.llm.catalog import query
 from regweave.session import stored
 
@@ -27,8 +26,8 @@ FREQUENT, SHARD = 1 << 20, 4_000_000
 ROUNDS = ((0, 1), (1, 3), (3, 8))
 #: Weights are averaged as integers of 1 / UNIT, so the order of adding does not matter.
 UNIT = 1 << 24
-#: Words longer than this are not remembered by a task; words remembered at once.
-SHORT, REMEMBERED = 64, 300_000
+#: Counts that a task holds before it hands them on.
+HELD = 2_000_000
 
 
 def held_out(id: Column) -> Column:
@@ -36,58 +35,65 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id.cast("string").cast("binary")), F.lit(10)) == 0, F.lit(True))
 
 
-def hash_of(word: bytes) -> int:
-    """The 64-bit key of a word, signed; the empty word stands for the end of a document."""
-    h = xxhash.xxh64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit integers with their bits spread."""
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(odd)
+    return x
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``h``, ``c`` of every distinct word of ``_text`` and of the end of a document."""
+#: A number for each byte, and the key of the end of a document.
+_BYTES, END_KEY = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
 
-        def out() -> pa.RecordBatch:
-            keys = pa.array(map(hash_of, seen), pa.int64())
-            return pa.RecordBatch.from_arrays([keys, pa.array(seen.values(), pa.int64())], names=["h", "c"])
+def hashes_of(words: pa.Array) -> np.ndarray:
+    """64-bit keys of words, none of them empty: sums of each byte's number times an odd number of its place."""
+    if not len(words):
+        return np.empty(0, np.int64)
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    odd = _mixed((np.arange(int(np.diff(offsets).max())) + 1000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return _mixed(np.add.reduceat(_BYTES[data] * odd[place], offsets[:-1])).view(np.int64)
 
-        for _, texts in slices(batches, "_text", size=4_000_000):
-            seen[b""] += len(texts)
-            for text in texts:
-                seen.update(text.lower().split())
-            if len(seen) > REMEMBERED:
-                yield out()
-                seen.clear()
-        yield out()
 
-    return docs.select("_text").mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, numbered: (hash of each different word, number of each word in order, words of each text)."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    words = split.flatten()
+    # White space at either end leaves an empty word.
+    real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    sizes = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[real], minlength=len(sizes))
+    coded = words.filter(pa.array(real)).dictionary_encode()
+    return hashes_of(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False), sizes
 
 
-class Words(dict):
-    """Number of a word: its place among the frequent words, or from ``rare`` on a number of its own in this task."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``h``, ``c`` of every distinct word of ``_text`` and of the end of a document."""
 
-    def __init__(self, keys: np.ndarray) -> None:
-        self.order = np.argsort(keys)
-        self.keys, self.rare = keys[self.order], len(keys)
-        self.hashes: list[int] = []
+    def merged(hashes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        return keys, np.bincount(back, weights=np.concatenate(times), minlength=len(keys)).astype(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        h = hash_of(word)
-        at = int(np.searchsorted(self.keys, h))
-        if at < self.rare and self.keys[at] == h:
-            n = int(self.order[at])
-        else:
-            n = self.rare + len(self.hashes)
-            self.hashes.append(h)
-        if len(word) <= SHORT:
-            self[word] = n
-        return n
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, times = [], []
+        for part in parts_of(batches, "_text"):
+            own, words, _ = numbered(part.column("_text"))
+            hashes += [own, np.array([END_KEY])]
+            times += [np.bincount(words, minlength=len(own)), np.array([part.num_rows])]
+            if sum(map(len, hashes)) > HELD:
+                hashes, times = ([x] for x in merged(hashes, times))
+                if len(hashes[0]) > HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[0]), pa.array(times[0])], names=["h", "c"])
+                    hashes, times = [], []
+        if hashes:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(hashes, times)], names=["h", "c"])
 
-    def forget(self) -> None:
-        """Bounds what is remembered; numbers given before are void."""
-        self.clear()
-        self.hashes = []
+    return docs.select("_text").mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 def encode(docs: DataFrame, keys: np.ndarray, logs: np.ndarray, known: bool) -> DataFrame:
@@ -101,45 +107,37 @@ def encode(docs: DataFrame, keys: np.ndarray, logs: np.ndarray, known: bool) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs = held.value
-        words = Words(keys[1:])
-        # Word n of the frequent ones has id n + 2 where the model's vocabulary reaches that far.
-        ids = np.arange(2, len(keys) + 1)
-        ids[ids >= vocabulary] = gru.RARE
-        for part, texts in slices(batches, "_text", size=4_000_000):
-            flat, sizes = [], []
-            for text in texts:
-                own = text.lower().split()
-                flat += own
-                sizes.append(len(own))
-            sizes = np.array(sizes, np.int64)
+        order = np.argsort(keys)
+        ordered = keys[order]
+        for part in parts_of(batches, "_text"):
+            hashes, words, sizes = numbered(part.column("_text"))
+            place = np.minimum(np.searchsorted(ordered, hashes), len(keys) - 1)
+            # Place of each different word among the frequent ones, -1 for the others.
+            place = np.where(ordered[place] == hashes, order[place], -1)
             ends = np.cumsum(sizes)
             doc = np.repeat(np.arange(len(sizes)), sizes)
-            n = np.fromiter(map(words.__getitem__, flat), np.int64, len(flat))
-            del flat
-            common = n < words.rare
-            got = np.full(len(n), gru.RARE, np.uint16)
-            got[common] = ids[n[common]]
+            n = place[words]
+            common = n >= 0
+            # The frequent word n (0 is the end) has the id n + 1 where the model's vocabulary reaches that far.
+            got = np.where(common & (n < vocabulary - 1), n + 1, gru.RARE).astype(np.uint16)
             outside = got == gru.RARE
             line = np.insert(got, ends, gru.END)
-            base = np.bincount(doc[common], weights=logs[1:][n[common]], minlength=len(sizes)) + logs[0]
+            base = np.bincount(doc[common], weights=logs[n[common]], minlength=len(sizes)) + logs[0]
             both = common & outside
-            base_out = np.bincount(doc[both], weights=logs[1:][n[both]], minlength=len(sizes))
+            base_out = np.bincount(doc[both], weights=logs[n[both]], minlength=len(sizes))
             n_known = np.bincount(doc[common], minlength=len(sizes)) + int(known)
             n_out = np.bincount(doc[outside], minlength=len(sizes))
-            pairs, times = np.unique(doc[~common] * (len(words.hashes) + 1) + (n[~common] - words.rare), return_counts=True)
-            owner, rare = np.divmod(pairs, len(words.hashes) + 1)
+            pairs, times = np.unique(doc[~common] * len(hashes) + words[~common], return_counts=True)
+            owner, rare = np.divmod(pairs, max(1, len(hashes)))
             rare_ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))]).astype(np.int32)
-            hashes = np.array(words.hashes, np.int64)[rare] if len(rare) else np.empty(0, np.int64)
             offsets = np.concatenate([[0], 2 * (ends + np.arange(1, len(sizes) + 1))])
             if offsets[-1] >= 1 << 31:
                 raise ValueError("a text of over 2^30 words")
             column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(line.astype("<u2").tobytes())])
             yield pa.RecordBatch.from_arrays(
                 [part.column("_id"), part.column("_held"), column, pa.array(sizes + 1), pa.array(n_known.astype(np.int64)), pa.array(n_out.astype(np.int64)), pa.array(base.astype(float)), pa.array(base_out.astype(float)),
-                 pa.ListArray.from_arrays(rare_ends, pa.array(hashes)), pa.ListArray.from_arrays(rare_ends, pa.array(times.astype(np.int64)))],
+                 pa.ListArray.from_arrays(rare_ends, pa.array(hashes[rare])), pa.ListArray.from_arrays(rare_ends, pa.array(times.astype(np.int64)))],
                 names=["_id", "_held", "ids", "n", "known", "n_out", "base", "base_out", "rare_h", "rare_n"])
-            if len(words) > REMEMBERED or len(words.hashes) > REMEMBERED:
-                words.forget()
 
     kind = docs.schema["_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"_id {kind}, _held boolean, ids binary, n bigint, known bigint, n_out bigint, base double, base_out double, rare_h array<bigint>, rare_n array<bigint>")
@@ -200,9 +198,9 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     counts = stored(word_counts(docs.filter("NOT _held")))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     spread = n + 0.1 * (v + 1)
-    top = counts.filter((F.col("c") * FREQUENT > n) & (F.col("h") != hash_of(b""))).orderBy(F.desc("c"), "h").toArrow()
-    ends = counts.filter(F.col("h") == hash_of(b"")).first()
-    keys = np.concatenate([[hash_of(b"")], top["h"].to_numpy()]).astype(np.int64)
+    top = counts.filter((F.col("c") * FREQUENT > n) & (F.col("h") != END_KEY)).orderBy(F.desc("c"), "h").toArrow()
+    ends = counts.filter(F.col("h") == END_KEY).first()
+    keys = np.concatenate([[END_KEY], top["h"].to_numpy()]).astype(np.int64)
     shares = (np.concatenate([[ends.c if ends else 0], top["c"].to_numpy()]) + 0.1) / spread
     rows = encode(docs, keys, np.log10(shares), bool(n)).withColumn("row", F.monotonically_increasing_id())
     encoded = stored(rows)
