@@ -13,6 +13,8 @@ SOURCE_PRECEDENCE = ("fcc", "ised", "acma", "nkom", "bnetza", "anatel", "enacom"
                      "nmhh", "uke")
 # Sources that are only read when the caller opts in.
 RESTRICTED_SOURCES = ("nmhh",)
+# Whole datasets of the same kind: activity flags of the registry, summits of the park build.
+RESTRICTED_DATASETS = ("activity", "summits")
 # The postal system a regulator's addresses use.
 POSTAL_COUNTRY = {"fcc": "United States", "ised": "Canada", "acma": "Australia"}
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave import schemas, sinks
-from regweave.functions.labels import RESTRICTED_SOURCES
 from regweave.operators.dedupe import merge_by_priority, union_all
 from regweave.operators.directory import attach_aliases, drop_shadowing_aliases, link_mirrors, relabel, without_known_hosts
 from regweave.operators.documents import combined_document, manifest, network_document, talkgroup_document
@@ -20,6 +19,7 @@ from regweave.operators.ids import assign_ids, interval_ids, node_child_table
 from regweave.operators.normalize import merge_registers
 from regweave.operators.prefix import apply_entities
 from regweave.operators.spatial import park_grids, park_grids_segregated
+from regweave.plans.policy import Policy
 from regweave.session import stored
 from regweave.sources.registers import REGISTERS
 
@@ -34,8 +34,9 @@ def collect_streams(
     """
     streams: dict[str, DataFrame] = {}
     report: list[tuple[str, str, str]] = []
+    policy = Policy(include_restricted)
     for tag, read in readers.items():
-        if tag in RESTRICTED_SOURCES and not include_restricted:
+        if not policy.allows(tag):
             report.append((tag, "refused", "restricted"))
             continue
         try:
@@ -85,31 +86,35 @@ class Built:
     report: list[tuple[str, str, str]] = field(default_factory=list)
 
 
-def build_current(streams: list[DataFrame], lookups: Lookups) -> DataFrame:
+def build_current(streams: list[DataFrame], lookups: Lookups, include_restricted: bool = False, policy: Policy | None = None) -> DataFrame:
     """Merge, grid fill (before entities, on purpose), entities, nodes, activity.
 
+    Without the opt-in no row of a restricted source is merged and the activity columns stay at their defaults.
     The merge leaves its rows partitioned by callsign and every later join is on that
     column, so the records are shuffled once.
     """
-    out = merge_registers(streams)
+    policy = policy or Policy(include_restricted)
+    out = merge_registers([policy.rows(stream) for stream in streams])
     if lookups.postal is not None and lookups.city is not None:
         out = fill_grid(out, lookups.postal, lookups.city)
     if lookups.entities is not None:
         out = apply_entities(out, lookups.entities, clean_keys=True)
     if lookups.nodes is not None:
         out = attach_nodes(out, lookups.nodes, clean_keys=True)
-    if lookups.activity is not None:
-        out = attach_activity(out, lookups.activity, clean_keys=True)
+    activity = policy.admit("activity", lookups.activity)
+    if activity is not None:
+        out = attach_activity(out, activity, clean_keys=True)
     return schemas.conform(out, schemas.RECORD)
 
 
-def build_registry(streams: list[DataFrame], lookups: Lookups, prior: Prior, as_of: str) -> Built:
-    """Current records, history, ids and the node child table of one build.
+def build_registry(streams: list[DataFrame], lookups: Lookups, prior: Prior, as_of: str, include_restricted: bool = False) -> Built:
+    """Current records, history, ids and the node child table of one build; what the policy refused is in the report.
 
     The current table feeds four outputs and is stored once.
     """
     spark = streams[0].sparkSession
-    current = stored(build_current(streams, lookups))
+    policy = Policy(include_restricted)
+    current = stored(build_current(streams, lookups, policy=policy))
     empty = spark.createDataFrame([], schemas.HISTORY)
     old = prior.history if prior.history is not None else empty
     vetted = generalise_postal(withhold_unvetted(schemas.conform(old, schemas.HISTORY), current))
@@ -121,7 +126,7 @@ def build_registry(streams: list[DataFrame], lookups: Lookups, prior: Prior, as_
     ledger = assign_ids(current, prior_ids, prior_hist)
     return Built(
         current=current, history=history, ledger=ledger, history_ledger=interval_ids(history, ledger, prior_hist),
-        nodes=node_child_table(ledger),
+        nodes=node_child_table(ledger), report=policy.report,
     )
 
 
@@ -188,9 +193,18 @@ def write_directory(rows: DataFrame, credits: DataFrame, talkgroups: DataFrame |
         sinks.write_talkgroups(talkgroups, f"{out}/talkgroups")
 
 
-def write_parks(parks: DataFrame, boundaries: DataFrame, open_boundaries: DataFrame | None, out: str) -> None:
-    """Parks and both grid sets; the share-alike set goes to its own folder."""
+def write_parks(parks: DataFrame, boundaries: DataFrame, open_boundaries: DataFrame | None, out: str, summits: DataFrame | None = None,
+                include_restricted: bool = False) -> list[tuple[str, str, str]]:
+    """Parks and both grid sets; the share-alike set goes to its own folder, summits are written with the opt-in only.
+
+    Returns (dataset, status, reason) of what was left out.
+    """
+    policy = Policy(include_restricted)
     sinks.write_parks(parks, f"{out}/parks")
     sinks.write_park_grids(park_grids(parks, boundaries), f"{out}/park_grids")
     if open_boundaries is not None:
         sinks.write_segregated_grids(stored(park_grids_segregated(parks, open_boundaries)), f"{out}/park_grids_osm")
+    summits = policy.admit("summits", summits)
+    if summits is not None:
+        sinks.write_summits(summits, f"{out}/summits")
+    return policy.report

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave.functions.grid import grid4, grid6
-from regweave.operators.dedupe import first_per_key, last_per_key, latest_expiry, one_holder, top_per_key
+from regweave.operators.dedupe import first_per_key, last_per_key, latest_expiry, one_holder, top_per_key, union_all
 from regweave.operators.enrich import attach_activity, attach_nodes, fill_grid, number_pages
 from regweave.operators.history import (
     attribute_as_of, fold_snapshot, generalise_postal, history_order, overlapping_intervals, withhold_unvetted,
@@ -14,6 +14,7 @@ from regweave.operators.history import (
 from regweave.operators.ids import assign_ids, interval_ids, node_child_table
 from regweave.operators.normalize import merge_registers, scrub_counters
 from regweave.operators.prefix import apply_entities
+from regweave.plans.builds import Lookups, build_current
 from regweave.plans.catalog import Tables, query
 from regweave.plans.inputs import (
     EMPTY_HISTORY_SQL, MERGED_SQL, call_of, customer_state, fold_sql, iso_day, iso_time, registers, state_sql,
@@ -486,9 +487,16 @@ def point_lookup(t: Tables) -> DataFrame:
     return merge_registers(registers(t)).filter("callsign = 'K42'").select("callsign", "last_name", "source")
 
 
-@query("restricted_gate", f"""WITH {MERGED_SQL} SELECT source, count(*) AS n FROM cased WHERE source <> 'acma' GROUP BY 1""")
+@query("restricted_gate", f"""WITH {MERGED_SQL},
+act AS (SELECT 'K' || user_id AS c, max(strftime(ts, '%Y-%m-%d')) AS d FROM events GROUP BY 1),
+whole AS (SELECT callsign, source FROM cased UNION ALL
+  SELECT 'K' || o_orderkey, 'nmhh' FROM orders WHERE 'K' || o_orderkey NOT IN (SELECT callsign FROM cased))
+SELECT false AS opened, source, false AS uses_lotw, count(*) AS n, NULL::VARCHAR AS latest FROM cased GROUP BY source
+UNION ALL SELECT true, source, d IS NOT NULL, count(*), max(d) FROM whole LEFT JOIN act ON callsign = c GROUP BY ALL""")
 def restricted_gate(t: Tables) -> DataFrame:
-    """Sources that need an opt-in are left out unless it is given."""
-    return merge_registers(registers(t)).filter(~F.col("source").isin("acma")).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-
-
+    """A build without and with the opt-in, orders being a register that needs it and events the activity list."""
+    orders = t.orders.withColumn("_ord", table_order("o_orderkey"))
+    streams = [*registers(t), records(orders, "nmhh", None, callsign=call_of("o_orderkey"))]
+    activity = t.events.select(call_of("user_id").alias("callsign"), iso_day("ts").alias("day"))
+    parts = [build_current(streams, Lookups(activity=activity), include_restricted=o).withColumn("opened", F.lit(o)) for o in (False, True)]
+    return union_all(parts).groupBy("opened", "source", "uses_lotw").agg(F.count(F.lit(1)).alias("n"), F.max("lotw_last_activity").alias("latest"))

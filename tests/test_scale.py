@@ -41,7 +41,7 @@ def test_records_are_shuffled_once(no_broadcast, tmp_path):
     streams = [stored_records(spark, 300, str(tmp_path / "a")), stored_records(spark, 500, str(tmp_path / "b"))]
     nodes = spark.range(100).select(F.concat(F.lit("K"), F.col("id")).alias("callsign"), F.col("id").alias("node"))
     activity = nodes.select("callsign", F.lit("2026-01-01").alias("day"))
-    out = builds.build_current(streams, builds.Lookups(nodes=nodes, activity=activity))
+    out = builds.build_current(streams, builds.Lookups(nodes=nodes, activity=activity), include_restricted=True)
     plan = explain(out)
     # One exchange for the merge, two for the node lists, one for the activity dates; the
     # two sort-merge joins take the records as the merge left them.
