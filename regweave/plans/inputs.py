@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave.plans.catalog import Tables
+from regweave.session import shared_folder
 from regweave.sources.base import records, table_order
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for derived files, below the shared one."""
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
 def iso_time(col: str) -> Column:
     """Timestamp as ISO text with microseconds."""
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")

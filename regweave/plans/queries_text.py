@@ -24,8 +24,8 @@ from regweave.functions.text import (
 )
 from regweave.operators.assemble import join_lines, number_islands
 from regweave.plans.catalog import Tables, query
-from regweave.plans.inputs import call_of
-from regweave.sources.base import by_header, quoted_cells
+from regweave.plans.inputs import call_of, scratch
+from regweave.sources.delimited import table
 from regweave.sources.directory import network_records, server_records, talkgroup_rows
 from regweave.sources.reference import entity_keys, node_drop_counts, node_report
 from regweave.sources.registers import ca_records, html_rows
@@ -330,23 +330,17 @@ def fixed_width(t: Tables) -> DataFrame:
 
 @query("csv_by_name", """
 SELECT o_orderkey::VARCHAR AS licence_no, o_custkey::VARCHAR AS client_no,
-       CASE WHEN o_orderkey % 2 = 0 THEN 'say "' || o_orderpriority || '", ok' ELSE o_orderpriority END AS type_name FROM orders""")
+       CASE WHEN o_orderkey % 2 = 0 THEN 'say "' || o_orderpriority || '",' || chr(10) || 'ok' ELSE o_orderpriority END AS type_name FROM orders""")
 def csv_by_name(t: Tables) -> DataFrame:
-    """CSV rows of two layouts: positional without a header, re-ordered with one."""
-    quoted = F.concat(F.lit('"say ""'), "o_orderpriority", F.lit('"", ok"'))
-    body = t.orders.select(
-        F.when(F.col("o_orderkey") % 2 == 0, F.concat_ws(",", "o_orderkey", "o_custkey", F.lit(""), quoted))
-        .otherwise(F.concat_ws(",", "o_orderpriority", "o_orderkey", F.lit(" x "), "o_custkey")).alias("value"),
-        F.struct(F.when(F.col("o_orderkey") % 2 == 0, "plain").otherwise("headed").alias("path"), F.lit(0).cast("bigint").alias("block"),
-                 (F.col("o_orderkey") + 1).alias("row")).alias("_ord"),
-    )
-    head = t.region.filter("r_regionkey = 0").select(
-        F.lit("TYPE_NAME,licence_no,OTHER,CLIENT_NO").alias("value"),
-        F.struct(F.lit("headed").alias("path"), F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("row")).alias("_ord"),
-    )
-    rows = quoted_cells(body.unionByName(head), ",")
+    """CSV files of two layouts: positional without a header, re-ordered with one; quoted cells go over two lines."""
+    folder = scratch(t.spark)
+    text = F.concat(F.lit('say "'), "o_orderpriority", F.lit('",\nok'))
+    even = F.col("o_orderkey") % 2 == 0
+    t.orders.filter(even).select("o_orderkey", "o_custkey", F.lit("").alias("none"), text.alias("text")).write.option("escape", '"').csv(f"{folder}/plain")
+    headed = t.orders.filter(~even).select(F.col("o_orderpriority").alias("TYPE_NAME"), F.col("o_orderkey").alias("licence_no"), F.lit(" x ").alias("OTHER"), F.col("o_custkey").alias("CLIENT_NO"))
+    headed.write.option("header", True).csv(f"{folder}/headed")
     # The header is recognised by its first cell.
-    return by_header(rows, {"licence_no": 0, "client_no": 1, "type_name": 3}, header_tokens={"type_name"}).drop("_ord")
+    return table(t.spark, f"{folder}/*", {"licence_no": 0, "client_no": 1, "type_name": 3}, header_tokens={"type_name"}).drop("_ord")
 
 
 @query("json_flatten", """

@@ -63,37 +63,11 @@ def read_lines_guessing(spark: SparkSession, path: str, fallback: str) -> DataFr
     return raw.select(F.regexp_replace(text, "^\ufeff", "").alias("value"), "_ord")
 
 
-def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
-    """First line of every file, its bytes as ISO-8859-1 text; each read stops there."""
-    firsts = {}
-    for name in spark.read.text(path).inputFiles():
-        if (first := read_lines(spark, name, "ISO-8859-1").first()) is not None:
-            firsts[first["_ord"]["path"]] = first["value"]
-    return firsts
-
-
 def split_delimited(lines: DataFrame, sep: str) -> DataFrame:
     """Lines without quoting to ``cells`` arrays."""
     return lines.select(F.split("value", "[" + sep + "]" if sep in "|;" else sep, -1).alias("cells"), "_ord")
 
 
-def quoted_cells(lines: DataFrame, sep: str) -> DataFrame:
-    """Lines with double-quoted cells to ``cells`` arrays.
-
-    Works on a line table, so that the reader's split and order columns are kept.
-    """
-    # A separator in front makes every cell one non-empty match, the first one too.
-    token = rf'{sep}("(?:[^"]++|"")*+"[^{sep}]*+|[^{sep}]*+)'
-    raw = F.regexp_extract_all(F.concat(F.lit(sep), F.col("value")), F.lit(token), F.lit(1))
-    quoted = r'^"((?:[^"]++|"")*+)"(.*)$'
-
-    def clean(cell: Column) -> Column:
-        inner = F.replace(F.regexp_extract(cell, quoted, 1), F.lit('""'), F.lit('"'))
-        return F.when(cell.rlike(quoted), F.concat(inner, F.regexp_extract(cell, quoted, 2))).otherwise(cell)
-
-    return lines.select(F.transform(raw, lambda c: clean(c)).alias("cells"), "_ord")
-
-
 def cell(index: int) -> Column:
     """Zero-based cell, trimmed, blank or absent to null."""
     from regweave.functions.text import blank_to_null
@@ -107,22 +81,11 @@ def first_cells(rows: DataFrame) -> dict[str, list[str]]:
     return {r["p"]: [c or "" for c in r["cells"]] for r in firsts.collect()}
 
 
-def file_heads(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8") -> dict[str, list[str]]:
-    """Header cells per file without scanning the files: each read stops at its first line."""
-    heads = {}
-    for name in spark.read.text(path).inputFiles():
-        first = quoted_cells(read_lines(spark, name, encoding).limit(1), sep).first()
-        if first is not None:
-            heads[first["_ord"]["path"]] = [c or "" for c in first["cells"]]
-    return heads
-
-
 def by_header(
     rows: DataFrame,
     columns: dict[str, int | None],
     header_tokens: set[str] | None = None,
     required: list[str] | None = None,
-    heads: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Cells to named columns.
 
@@ -134,7 +97,7 @@ def by_header(
     layouts: dict[tuple, list[str]] = {}
     path = F.col("_ord.path")
     is_head = F.lit(False)
-    for name, head in (heads if heads is not None else first_cells(rows)).items():
+    for name, head in first_cells(rows).items():
         found = {h.lstrip("\ufeff").strip().upper(): i for i, h in enumerate(head)}
         position = dict(columns)
         if header_tokens is None or head[0].strip().lower() in header_tokens:

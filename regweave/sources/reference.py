@@ -13,7 +13,7 @@ from regweave.functions.numbers import active_flag, active_until, digits_only, t
 from regweave.functions.text import blank_to_null, redact_emails, strip
 from regweave.operators.dedupe import first_per_key, last_per_key
 from regweave.schemas import PARK, SUMMIT, conform
-from regweave.sources import base
+from regweave.sources import base, delimited
 
 # --- entity prefixes ---------------------------------------------------------------------
 
@@ -51,8 +51,8 @@ def entity_keys(chunks: DataFrame, numbers: DataFrame) -> DataFrame:
 
 def read_entity_numbers(spark: SparkSession, path: str) -> DataFrame:
     """``(primary, number)`` from the quoted CSV; bad rows skipped, last row per key wins."""
-    rows = base.quoted_cells(base.read_lines(spark, path), ",").filter(F.size("cells") >= 3)
-    parsed = rows.select(F.upper(base.cell(0)).alias("primary"), base.cell(2).try_cast("bigint").alias("number"), "_ord")
+    rows = delimited.table(spark, path, {"primary": 0, "number": 2}, header_tokens=set())
+    parsed = rows.select(F.upper("primary").alias("primary"), F.col("number").try_cast("bigint").alias("number"), "_ord")
     return last_per_key(parsed.filter("primary is not null and number is not null"), ["primary"], F.col("_ord"), drop=("_ord",))
 
 
@@ -202,7 +202,4 @@ def summit_records(rows: DataFrame, as_of: str, synced_at: str | None = None) ->
 
 def read_summits(spark: SparkSession, path: str, as_of: str, synced_at: str | None = None) -> DataFrame:
     """CSV files with a title line above their headers."""
-    lines = base.read_lines(spark, path).filter(~F.ltrim("value").startswith(SUMMIT_TITLE))
-    rows = base.quoted_cells(lines, ",")
-    rows = base.by_header(rows, dict.fromkeys(SUMMIT_COLUMNS))
-    return summit_records(rows, as_of, synced_at)
+    return summit_records(delimited.table(spark, path, dict.fromkeys(SUMMIT_COLUMNS), title=SUMMIT_TITLE), as_of, synced_at)

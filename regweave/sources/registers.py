@@ -23,7 +23,7 @@ from regweave.functions.text import (
 from regweave.operators.assemble import LISTS, callbook_entries
 from regweave.operators.dedupe import first_per_key, last_per_key, latest_expiry, one_holder, top_per_key, union_all
 from regweave.operators.guards import GateError
-from regweave.sources import base
+from regweave.sources import base, delimited
 from regweave.sources.base import Register, cell, records
 
 # --- fixed values: file layouts ------------------------------------------------------
@@ -162,8 +162,7 @@ def au_records(device: DataFrame, licence: DataFrame, client: DataFrame, types:
 
 
 def _au_file(spark: SparkSession, path: str, layout: dict[str, int]) -> DataFrame:
-    rows = base.quoted_cells(base.read_lines(spark, path, "ISO-8859-1"), ",")
-    return base.by_header(rows, layout, header_tokens=AU_TOKENS, heads=base.file_heads(spark, path, ",", "ISO-8859-1"))
+    return delimited.table(spark, path, layout, encoding="ISO-8859-1", header_tokens=AU_TOKENS)
 
 
 def read_au(spark: SparkSession, path: str, synced_at: str | None = None, granted_only: bool = True,
@@ -255,9 +254,7 @@ def br_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
 
 def read_br(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
     """Semicolon CSV with a byte-order mark."""
-    rows = base.quoted_cells(base.read_lines(spark, path), ";")
-    heads = base.file_heads(spark, path, ";")
-    return br_records(base.by_header(rows, dict.fromkeys(BR_COLUMNS), required=BR_COLUMNS, heads=heads), synced_at)
+    return br_records(delimited.table(spark, path, dict.fromkeys(BR_COLUMNS), ";", required=BR_COLUMNS), synced_at)
 
 
 # --- Norway --------------------------------------------------------------------------------
@@ -292,7 +289,8 @@ def read_no(spark: SparkSession, path: str, synced_at: str | None = None) -> Dat
     lines = base.read_lines(spark, path, "ISO-8859-1")
     utf8 = "ø".encode().decode("latin-1")
     pages: dict[str, list[str]] = {}
-    for name, head in base.first_lines(spark, path).items():
+    for name, found in delimited.profile(spark, path).items():
+        head = found.first
         pages.setdefault("UTF-8" if utf8 in head else "cp1252" if "\xf8" in head else "cp865", []).append(name)
     text = F.encode("value", "ISO-8859-1").cast("string")
     for codec in pages.keys() - {"UTF-8"}:
@@ -332,10 +330,7 @@ def read_pl(spark: SparkSession, path: str, synced_at: str | None = None) -> Dat
     parts = []
     columns = dict.fromkeys(PL_REQUIRED + PL_OPTIONAL)
     for number, (name, kind) in enumerate(PL_LISTS.items()):
-        rows = base.quoted_cells(base.read_lines_guessing(spark, f"{path}/{name}", "cp1250"), ";")
-        # Header names are ASCII, so the code page does not matter for them.
-        heads = base.file_heads(spark, f"{path}/{name}", ";", "ISO-8859-1")
-        named = base.by_header(rows, columns, required=PL_REQUIRED, heads=heads)
+        named = delimited.table(spark, f"{path}/{name}", columns, ";", fallback="cp1250", required=PL_REQUIRED)
         # List order comes first in the row order.
         order = F.struct(F.lit(f"{number}").alias("path"), F.col("_ord.block").alias("block"), F.col("_ord.row").alias("row"))
         parts.append(named.withColumn("_ord", order).withColumn("holder_type", F.lit(kind)))

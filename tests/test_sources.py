@@ -5,7 +5,7 @@ import json
 import pytest
 
 from regweave.operators.guards import GateError
-from regweave.sources import base, directory, reference, registers
+from regweave.sources import base, delimited, directory, reference, registers
 
 
 def put(path, text, encoding="utf-8"):
@@ -325,10 +325,38 @@ def test_order_survives_small_splits(spark, tmp_path):
     assert got == [f"line {i}" for i in range(3000)]
 
 
-def test_quoted_cells(spark):
-    lines = spark.createDataFrame([(',a,"b, ""c""",', 0), ('"x";y', 1), ("", 2)], "value string, k long").withColumn("_ord", base.table_order("k"))
-    got = [r.cells for r in base.quoted_cells(lines, ",").orderBy("_ord").collect()]
-    assert got == [["", "a", 'b, "c"', ""], ["x;y"], [""]]
+def test_quoted_cells(spark, tmp_path):
+    text = ',a,"b, ""c""",\r\n"x;y"\r\n\r\n5" pipe, z ,"two\nlines",end\n'
+    got = delimited.table(spark, put(tmp_path / "q.csv", text), {"a": 0, "b": 1, "c": 2, "d": 3}, header_tokens=set())
+    assert [tuple(r)[:4] for r in got.orderBy("_ord").collect()] == [
+        (None, "a", 'b, "c"', None), ("x;y", None, None, None), ('5" pipe', "z", "two\nlines", "end")]
+
+
+def test_line_breaks_column_orders_and_unbalanced_quotes(spark, tmp_path, caplog):
+    put(tmp_path / "d" / "one.csv", 'name;Code;note\nA;1;"first\nsecond; ""x"""\nB;2;\n')
+    put(tmp_path / "d" / "two files.csv", '\ufeffCODE;other;NAME\n3;x;C\nCODE;other;NAME\n4;"y\n5;z;E\n')
+    put(tmp_path / "d" / "three.csv", "name;code\nÅ;6\n", "cp1252")
+    read = lambda: delimited.table(spark, str(tmp_path / "d"), {"name": None, "code": None, "note": None}, ";", fallback="cp1252", required=["name", "code"])
+    got = sorted((tuple(r)[:3] for r in read().collect()), key=repr)
+    # A row like the header is data; the open quote takes the rest of its file, and the file is named.
+    assert ("A", "1", 'first\nsecond; "x"') in got and ("B", "2", None) in got and ("C", "3", None) in got and ("Å", "6", None) in got
+    assert ("NAME", "CODE", None) in got and ("E", "5", None) not in got and len(got) == 6
+    assert [r.message for r in caplog.records] and "two%20files.csv: unbalanced quotes" in caplog.text
+    put(tmp_path / "d" / "four.csv", "name;note\nX;1\n")
+    with pytest.raises(GateError):
+        read()
+    assert delimited.table(spark, put(tmp_path / "e.csv", ""), {"a": 0}, header_tokens=set()).count() == 0
+
+
+def test_a_large_file_without_line_breaks_in_cells_is_split(spark, tmp_path):
+    path = put(tmp_path / "big.csv", "k,v\n" + "".join(f'{i},"a, {i}"\n' for i in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        out = delimited.table(spark, path, {"k": None, "v": None}, required=["k"])
+        assert out.rdd.getNumPartitions() > 3 and [r.k for r in out.orderBy("_ord").collect()] == [str(i) for i in range(4000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_every_file_has_its_own_header_and_code_page(spark, tmp_path):
