@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,32 @@ def read_lines_guessing(spark: SparkSession, path: str, fallback: str) -> DataFr
     return raw.select(F.regexp_replace(text, "^\ufeff", "").alias("value"), "_ord")
 
 
+def json_items(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Objects of JSON arrays or of JSON lines, with ``_ord`` and ``file`` (name of their file).
+
+    Files with one whole object a line, as arrays are usually written, are split over tasks; others are read by one
+    task each.  A file that is no JSON fails the job.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), file_order())
+    body = F.regexp_replace(F.btrim(F.regexp_replace("value", "^\ufeff", ""), F.lit(" \t\r[,")), r"[,\]\s]+$", "")
+    braces = [F.length(body) - F.length(F.replace(body, F.lit(b), F.lit(""))) for b in "{}"]
+    # Two objects on a line, or what looks like it inside one, make the file one to be read as a whole.
+    whole = (body == "") | (body.startswith("{") & body.endswith("}") & (braces[0] == braces[1]) & ~body.rlike(r"\}\s*,?\s*\{"))
+    files = lines.groupBy(F.col("_ord.path").alias("path")).agg(F.bool_and(whole).alias("by_line"), F.sum(F.length(body)).alias("n")).collect()
+    parts, order = [], [f.alias(n) for f, n in ((F.col("_metadata.file_name"), "file"),)]
+    by_line = [unquote(r["path"]) for r in files if r["by_line"] and r["n"]]
+    others = [unquote(r["path"]) for r in files if not r["by_line"]]
+    if by_line:
+        own = spark.read.text(by_line if others else path).select("value", *order, file_order()).filter(body != "")
+        parts.append(own.select(F.from_json(body, schema, {"mode": "FAILFAST"}).alias("r"), "file", "_ord").select("r.*", "file", "_ord"))
+    if others:
+        read = spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(others if by_line else path)
+        parts.append(read.select("*", *order, file_order()))
+    if not parts:
+        return spark.createDataFrame([], schema).withColumns({"file": F.lit(""), "_ord": F.lit(None).cast(ORDER_TYPE)})
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def split_delimited(lines: DataFrame, sep: str) -> DataFrame:
     """Lines without quoting to ``cells`` arrays."""
     return lines.select(F.split("value", "[" + sep + "]" if sep in "|;" else sep, -1).alias("cells"), "_ord")

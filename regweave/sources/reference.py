@@ -137,17 +137,17 @@ def read_activity(spark: SparkSession, path: str) -> DataFrame:
 
 def read_postal_centroids(spark: SparkSession, path: str) -> DataFrame:
     """One centroid per (country, postal code), the last entry wins."""
-    rows = spark.read.schema("country string, postal_code string, lat double, lon double").option("multiLine", True).json(path)
+    rows = base.json_items(spark, path, "country string, postal_code string, lat double, lon double")
     rows = rows.withColumn("country", F.upper(F.trim("country"))).withColumn("postal_code", F.upper(F.trim("postal_code")))
-    return last_per_key(rows.withColumn("_ord", F.monotonically_increasing_id()), ["country", "postal_code"], F.col("_ord"), drop=("_ord",))
+    return last_per_key(rows, ["country", "postal_code"], F.col("_ord"), drop=("_ord", "file"))
 
 
 def read_city_centroids(spark: SparkSession, path: str) -> DataFrame:
     """One centroid per (country, state, city), the last entry wins."""
-    rows = spark.read.schema("country string, state string, city string, lat double, lon double").option("multiLine", True).json(path)
+    rows = base.json_items(spark, path, "country string, state string, city string, lat double, lon double")
     for name in ("country", "state", "city"):
         rows = rows.withColumn(name, F.upper(F.trim(F.coalesce(name, F.lit("")))))
-    return last_per_key(rows.withColumn("_ord", F.monotonically_increasing_id()), ["country", "state", "city"], F.col("_ord"), drop=("_ord",))
+    return last_per_key(rows, ["country", "state", "city"], F.col("_ord"), drop=("_ord", "file"))
 
 
 # --- parks and summits -------------------------------------------------------------------
@@ -172,9 +172,9 @@ def park_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
 
 def read_parks(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
     """``parks_<PROGRAM>.json`` arrays, one file per program; the file name gives the country."""
-    rows = spark.read.schema(PARK_JSON).option("multiLine", True).json(path)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"_([^_.]+)\.[^.]*$", 1)
-    return park_records(rows.select("*", F.nullif(name, F.lit("")).alias("country"), base.file_order()), synced_at)
+    rows = base.json_items(spark, path, PARK_JSON)
+    name = F.regexp_extract(F.col("file"), r"_([^_.]+)\.[^.]*$", 1)
+    return park_records(rows.withColumn("country", F.nullif(name, F.lit(""))), synced_at)
 
 
 SUMMIT_COLUMNS = ["SummitCode", "AssociationName", "RegionName", "SummitName", "AltM", "AltFt", "GridRef1", "GridRef2",

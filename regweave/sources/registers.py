@@ -25,6 +25,7 @@ from regweave.operators.dedupe import first_per_key, last_per_key, latest_expiry
 from regweave.operators.guards import GateError
 from regweave.sources import base, delimited
 from regweave.sources.base import Register, cell, records
+from regweave.sources.spreadsheet import by_titles, spreadsheet_rows
 
 # --- fixed values: file layouts ------------------------------------------------------
 # United States, pipe files, zero-based positions.
@@ -457,17 +458,6 @@ def uy_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
 # --- Hungary -------------------------------------------------------------------------------
 
 
-def place_by_index(cells: Column) -> Column:
-    """Sparse spreadsheet cells (``Data``, optional 1-based ``_ss:Index``) to a dense array."""
-    empty = F.array().cast("array<string>")
-
-    def put(acc: Column, item: Column) -> Column:
-        gap = F.greatest(F.coalesce(item["index"] - 1 - F.size(acc), F.lit(0)), F.lit(0))
-        return F.concat(acc, F.array_repeat(F.lit(""), gap), F.array(F.coalesce(item["data"], F.lit(""))))
-
-    return F.aggregate(cells, empty, put)
-
-
 def hu_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
     """Issued licences, one per callsign by latest validity."""
     call = F.upper(F.coalesce("callsign", F.lit("")))
@@ -494,32 +484,8 @@ def hu_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
 
 
 def read_hu(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
-    """Spreadsheet XML, rows read as split text chunks, cells placed by their index."""
-    chunks = base.read_lines(spark, path, line_sep="</Row>")
-    if not chunks.filter(F.col("value").rlike("<!DOCTYPE|<!ENTITY")).isEmpty():
-        raise GateError(f"{path}: document type declarations are refused")
-    row = F.regexp_extract("value", r"(?s)<Row\b[^>]*>(.*)$", 1)
-    found = F.regexp_extract_all(row, F.lit(r"(?s)(<Cell\b[^>]*/>|<Cell\b[^>]*>.*?</Cell>)"), F.lit(1))
-    cells = F.transform(
-        found,
-        lambda c: F.struct(
-            F.nullif(F.regexp_extract(c, r'^<Cell\b[^>]*\bss:Index\s*=\s*"(\d+)"', 1), F.lit("")).try_cast("int").alias("index"),
-            strip(html_text(F.regexp_extract(c, r"(?s)<(?:ss:)?Data\b[^>]*>(.*?)</(?:ss:)?Data>", 1))).alias("data"),
-        ),
-    )
-    rows = chunks.filter(F.col("value").contains("<Row")).select(place_by_index(cells).alias("cells"), "_ord")
-    first = rows.limit(1).collect()  # stops at the first row
-    if not first:
-        raise GateError(f"{path}: empty worksheet")
-    header = [h.casefold() for h in first[0]["cells"]]
-    position = {}
-    for name, label in HU_HEADERS.items():
-        hits = [i for i, h in enumerate(header) if label in h]
-        if not hits:
-            raise GateError(f"{path}: no {label!r} column in {header}")
-        position[name] = hits[0]
-    body = rows.filter(F.col("_ord") > _order_literal(first[0]["_ord"])).select(*[cell(i).alias(n) for n, i in position.items()], "_ord")
-    return hu_records(body, synced_at)
+    """Spreadsheet XML."""
+    return hu_records(by_titles(spreadsheet_rows(spark, path), HU_HEADERS), synced_at)
 
 
 # --- Germany -------------------------------------------------------------------------------
