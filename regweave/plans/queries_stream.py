@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regweave.history_store import HistoryStore
 from regweave.plans.catalog import Tables, query
 from regweave.plans.inputs import EMPTY_HISTORY_SQL, customer_state, fold_sql, state_sql
 from regweave.plans.queries_registry import CUT1, CUT2, CUT3, HCOLS, HSQL
@@ -29,3 +30,22 @@ def snapshot_stream(t: Tables) -> DataFrame:
             state.write.mode("append").partitionBy("as_of").parquet(f"{root}/in")
         stream_history(t.spark, f"{root}/in", f"{root}/history", f"{root}/state").awaitTermination()
     return latest_history(t.spark, f"{root}/history").select(*HCOLS)
+
+
+def _stored_history(t: Tables) -> HistoryStore:
+    store = HistoryStore(t.spark, f"{shared_folder(t.spark)}/regweave-history-{uuid.uuid4().hex}")
+    for cut in (CUT1, CUT2, CUT3):
+        store.fold(customer_state(t, cut), cut, batch=cut)
+    return store
+
+
+@query("history_store", f"WITH {_SQL} SELECT {HSQL} FROM h3")
+def history_store(t: Tables) -> DataFrame:
+    """Three snapshots folded into a history that is only appended to."""
+    return _stored_history(t).rows().select(*HCOLS)
+
+
+@query("history_valid_on", f"WITH {_SQL} SELECT {HSQL} FROM h3 WHERE valid_from <= '{CUT2}' AND (valid_to IS NULL OR valid_to > '{CUT2}')")
+def history_valid_on(t: Tables) -> DataFrame:
+    """Holders on a day: folders of intervals that had ended by then are not read."""
+    return _stored_history(t).valid_on(CUT2).select(*HCOLS)

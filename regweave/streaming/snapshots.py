@@ -1,8 +1,8 @@
 """Fold dated snapshots into the history as they arrive.
 
-The history table is the state, so the stream itself needs none.  Each micro-batch
-writes a new version folder named after its batch id and reads the newest older one; a
-batch that is replayed after a failure overwrites only its own version.
+The history store is the state, so the stream itself needs none.  A micro-batch folds its days in order, each with a
+commit of its own named after batch and day: a batch that is replayed after a failure skips the days it had folded and
+goes on with the others.  A day older than the last folded one is put aside; the stream goes on.
 """
 
 from __future__ import annotations
@@ -13,47 +13,30 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from regweave import schemas
-from regweave.operators.history import fold_snapshot
-from regweave.session import stored
+from regweave.history_store import HistoryStore
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
-    return sorted(int(n.split("=", 1)[1]) for n in done if n.startswith("v="))
-
-
-def latest_history(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Newest committed history version (older than ``before`` if given)."""
-    known = [v for v in _versions(spark, root) if before is None or v < before]
-    if not known:
-        return spark.createDataFrame([], schemas.HISTORY)
-    return schemas.conform(spark.read.parquet(f"{root}/v={known[-1]}"), schemas.HISTORY)
+def latest_history(spark: SparkSession, root: str) -> DataFrame:
+    """Newest committed history."""
+    return HistoryStore(spark, root).rows()
 
 
 def fold_batch(root: str):
     """``foreachBatch`` function that folds every ``as_of`` of the batch in date order."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        history = latest_history(spark, root, before=batch_id)
+        store = HistoryStore(batch.sparkSession, root)
         # Distinct snapshot dates of one batch: a handful of folder names.
-        days = sorted(r[0] for r in batch.select("as_of").distinct().collect())
-        last = history.agg(F.greatest(F.max("valid_from"), F.max("valid_to"))).first()[0]
-        if days and last is not None and days[0] < last:
-            raise ValueError(f"snapshot {days[0]} arrived after {last} was folded")
-        for day in days:
-            # A fold reads the history twice (open and closed part), so each one is stored
-            # before the next: otherwise a catch-up over n days would plan 2^n scans.
-            if day != days[0]:
-                history = stored(history)
-            history = fold_snapshot(history, batch.filter(F.col("as_of") == day).drop("as_of"), day)
-        history.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+        for day in sorted(r[0] for r in batch.select("as_of").distinct().collect()):
+            last, name = store.manifest(), f"{batch_id}:{day}"
+            # Days of this very batch that a first attempt has folded.
+            if last.batch is not None and last.batch.split(":", 1)[0] == str(batch_id) and day <= last.batch.split(":", 1)[1]:
+                continue
+            rows = batch.filter(F.col("as_of") == day).drop("as_of")
+            if last.as_of is not None and day < last.as_of:
+                store.quarantine(rows, day, str(batch_id))
+            else:
+                store.fold(rows, day, name)
 
     return run
 

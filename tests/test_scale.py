@@ -96,9 +96,15 @@ def test_pages_stay_bounded(spark):
     assert len(sizes) == 50 and max(r.s for r in sizes) == 1000
 
 
-def test_as_of_splits_a_hot_key(spark):
-    hist = spark.createDataFrame([("hot", "2026-01-01 00:00", None, "x")], "callsign string, valid_from string, valid_to string, holder string")
-    ev = spark.range(0, 3000).select("id", F.lit("hot").alias("callsign"), F.date_format(F.expr("timestamp'2026-01-01' + make_interval(0,0,0,0,0,id,0)"), "yyyy-MM-dd HH:mm").alias("at"))
-    out = history.attribute_as_of(ev, hist, "callsign", "at", ["holder"])
-    assert out.filter("holder = 'x'").count() == 3000
-    assert re.search(r"Window \[last.*\], \[_k#\d+, _bucket#\d+\]", explain(out))
+@pytest.mark.parametrize("minutes", [3000, 1])
+def test_as_of_splits_a_hot_key(spark, monkeypatch, minutes):
+    """One key with all events, spread over time or at one instant, goes to all ranges alike."""
+    hist = spark.createDataFrame([("hot", "2026-01-01 00:00", None, "x"), ("a", "2026-01-01 00:00", None, "y")], "callsign string, valid_from string, valid_to string, holder string")
+    ev = spark.range(0, 3000).select("id", F.lit("hot").alias("callsign"), F.date_format(F.expr(f"timestamp'2026-01-01' + make_interval(0,0,0,0,0,int(id % {minutes}),0)"), "yyyy-MM-dd HH:mm").alias("at"))
+    seen, stored = [], history.stored
+    monkeypatch.setattr(history, "stored", lambda df: seen.append(stored(df)) or seen[-1])
+    out = history.attribute_as_of(ev, hist, "callsign", "at", ["holder"], partitions=12)
+    assert out.filter("holder = 'x'").count() == 3000 == out.count()
+    sizes = [r["count"] for r in seen[0].filter("not _start").groupBy("_part").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 3 * 3000 / 12
+    assert not re.search(r"Window \[[^\]]*\], \[_k", explain(out))
