@@ -7,6 +7,7 @@ bands that reach the bound are verified by banded alignment.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,9 @@ from regweave.llm.catalog import query
 
 #: Bytes of a q-gram; edits allowed per byte of an item; bytes of the items that one pass holds.
 Q, EDITS, BLOCK_BYTES = 8, 0.05, 8_000_000
+#: Bits of the number of a band; a text has fewer bytes than 2 ** BAND_BITS.
+BAND_BITS = 32
+_BUILT: dict = {}
 _FOLD = bytes(32 if i in b"\t\n\r\f\v" else i + 32 if 65 <= i <= 90 else i for i in range(256))
 
 
@@ -68,6 +72,7 @@ class Index:
 
     def __init__(self, items: list[tuple[object, bytes]], edits: float = EDITS) -> None:
         self.items = [(k, fold(t)) for k, t in items]
+        self.longest = max((len(t) for _, t in self.items), default=0)
         self.most = np.array([self.budget(len(t), edits) for _, t in self.items], np.int64)
         self.need = np.array([len(t) - Q + 1 - Q * e for (_, t), e in zip(self.items, self.most)], np.int64)
         # Too short for a q-gram: such items are looked for as they are.
@@ -108,40 +113,38 @@ class Index:
         doc = np.searchsorted(starts, pos, side="right") - 1
         inside = pos + Q <= starts[doc] + lengths[doc]
         pos, where, doc = pos[inside], where[inside], doc[inside]
-        found: dict[tuple[int, int, int], int] = {}
         counts = self.first[where + 1] - self.first[where]
         ends = np.cumsum(counts)
-        for lo in self._steps(ends):
-            a, b = lo
+        # Document, item and band as one number; the next band of the same pair is the next number.
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for a, b in self._steps(ends):
             n = counts[a:b]
-            total = int(n.sum())
             owner = np.repeat(np.arange(a, b), n)
-            entry = np.arange(total) - np.repeat(ends[a:b] - n - (ends[a - 1] if a else 0), n) + np.repeat(self.first[where[a:b]], n)
+            entry = np.arange(len(owner)) - np.repeat(ends[a:b] - n - (ends[a - 1] if a else 0), n) + np.repeat(self.first[where[a:b]], n)
             item = self.item[entry]
             diagonal = pos[owner] - starts[doc[owner]] - self.at[entry]
-            band = (diagonal + (1 << 40)) // (self.most[item] + 1) - (1 << 40) // (self.most[item] + 1)
-            rows = np.stack([doc[owner], item, band], axis=1)
-            order = np.lexsort(rows.T[::-1])
-            rows = rows[order]
-            new = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
-            for key, c in zip(map(tuple, rows[new].tolist()), np.diff(np.r_[new, len(rows)]).tolist()):
-                found[key] = found.get(key, 0) + c
+            band = (diagonal + self.longest) // (self.most[item] + 1)
+            parts.append(np.unique(((doc[owner] * len(self.items) + item) << BAND_BITS) + band, return_counts=True))
+        if not parts:
+            return {}
+        key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        count = np.bincount(back, weights=np.concatenate([c for _, c in parts]), minlength=len(key)).astype(np.int64)
+        follows = np.r_[key[1:] == key[:-1] + 1, False]
+        more = np.where(follows, np.r_[count[1:], 0], 0)
+        pair, band = key >> BAND_BITS, key & ((1 << BAND_BITS) - 1)
+        d, i = np.divmod(pair, len(self.items))
+        alone = ~follows & ~np.r_[False, follows[:-1]]
+        # A band counts with the next one; the last band of a run counts alone.
+        keep = np.flatnonzero(count + more >= self.need[i])
         out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for (d, i, b), c in sorted(found.items()):
-            more = found.get((d, i, b + 1), 0)
-            alone = (d, i, b - 1) not in found and not more
-            if c + more >= self.need[i] and (more or alone):
-                w = int(self.most[i]) + 1
-                first = (b + (1 << 40) // w) * w - (1 << 40)
-                out.setdefault((d, i), []).append((first - w, first + 3 * w))
-            elif c >= self.need[i] and not more:
-                w = int(self.most[i]) + 1
-                first = (b + (1 << 40) // w) * w - (1 << 40)
-                out.setdefault((d, i), []).append((first - w, first + 2 * w))
+        for k in keep.tolist():
+            w = int(self.most[i[k]]) + 1
+            low = int(band[k]) * w - self.longest
+            out.setdefault((int(d[k]), int(i[k])), []).append((low - w, low + (3 if follows[k] or alone[k] else 2) * w))
         return out
 
     @staticmethod
-    def _steps(ends: np.ndarray, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    def _steps(ends: np.ndarray, most: int = 250_000) -> Iterator[tuple[int, int]]:
         """Runs of hits with a bounded number of entries; a single hit may be larger."""
         a = 0
         while a < len(ends):
@@ -197,9 +200,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
         part = items.filter(F.pmod(F.xxhash64("_item", "_words"), F.lit(blocks)) == block).orderBy("_item", "_words").collect()
         held = docs.sparkSession.sparkContext.broadcast([(r[0], r[1].encode()) for r in part])
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value, edits)
-            for rows, texts in slices(batches, "_text", rows=2048, size=4_000_000):
+        def run(batches: Iterator[pa.RecordBatch], held=held, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            # A worker builds the index of a block once, whatever tasks it gets.
+            if _BUILT.get("block") != name:
+                _BUILT.update(block=name, index=Index(held.value, edits))
+            index = _BUILT["index"]
+            for rows, texts in slices(batches, "_text", rows=2048, size=1_000_000):
                 found = index.find(texts)
                 if found:
                     d, keys, starts, ends, costs = zip(*found)

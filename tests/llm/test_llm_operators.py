@@ -508,3 +508,46 @@ def test_thousands_of_buckets_are_refined_in_one_filter(spark):
     fine = shards._refined(groups, pieces, list(range(2048)))
     assert sum(p[1] for p in fine) == sum(s for _, s in rows) and len(fine) == 1 << 13
     assert sum(p[1] for p in shards._refined(groups, fine, [0, 3])) == sum(s for _, s in rows)
+
+
+def test_contaminated_equals_brute_force_over_edited_passages(spark):
+    """Random edits up to and beyond the bound, items that repeat, several in a text, at either end of it."""
+    rng = random.Random(8)
+    words = ["stone", "river", "lamp", "the", "of", "window", "seven", "quiet", "paper", "mountain", "é"]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([3, 12, 25])))) for i in range(12)]
+    items.append((50, items[3][1].upper()))
+
+    def edited(text, n):
+        chars = list(text)
+        for _ in range(n):
+            at = rng.randrange(len(chars))
+            chars[at : at + 1] = rng.choice([[], [rng.choice("xyz")], [chars[at], rng.choice("xyz")]])
+        return "".join(chars)
+
+    rows = []
+    for i in range(150):
+        parts = [" ".join(rng.choices(words, k=rng.randrange(40))) for _ in range(2)]
+        t = rng.choice(items)[1]
+        parts.insert(rng.randrange(3), edited(t, rng.randrange(0, 2 + len(t.encode()) // 20)))
+        rows.append((i, rng.choice([" ", "\n"]).join(parts)))
+
+    def least_edits(item, text):
+        """Fewest edits of the item against any part of the text, by the full table."""
+        row = np.zeros(len(text) + 1, int)
+        for k, c in enumerate(item, 1):
+            new = np.minimum(row[1:] + 1, row[:-1] + (np.frombuffer(text, np.uint8) != c))
+            new = np.r_[k, new]
+            row = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+        return int(row.min())
+
+    want = set()
+    for d, text in rows:
+        for i, item in items:
+            item, folded = decontam.fold(item.encode()), decontam.fold(text.encode())
+            if folded and least_edits(item, folded) <= decontam.Index.budget(len(item), decontam.EDITS):
+                want.add((d, i))
+    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 100
+    for r in found:
+        part = decontam.fold(dict(rows)[r.doc_id].encode())[r.start : r.end]
+        assert least_edits(decontam.fold(dict(items)[r.item_id].encode()), part) <= r.edits
