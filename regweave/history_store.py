@@ -8,7 +8,6 @@ names, which the next attempt overwrites; a fold that is repeated after it is re
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regweave import schemas
+from regweave.manifests import ManifestLog
 from regweave.operators.history import fold_pairs
 
 _OPEN = "open"
@@ -38,35 +38,14 @@ class HistoryStore:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _versions(self) -> list[int]:
-        folder = self._path(f"{self.root}/manifest")
-        if not self._fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+        self.log = ManifestLog(spark, f"{self.root}/manifest")
 
     def manifest(self, version: int | None = None) -> Manifest:
         """The newest manifest, or one by its number; an empty history has version 0."""
-        if version is None:
-            version = max(self._versions(), default=0)
-        if version == 0:
-            return Manifest()
-        text = self.spark.read.option("wholetext", True).text(f"{self.root}/manifest/{version:08d}.json").first()[0]
-        return Manifest(**json.loads(text))
+        return Manifest(**self.log.read(version))
 
     def _commit(self, manifest: Manifest) -> None:
-        """Create a manifest; fails if another writer has created the same version."""
-        target = self._path(f"{self.root}/manifest/{manifest.version:08d}.json")
-        draft = self._path(f"{self.root}/manifest/_draft-{manifest.version:08d}")
-        out = self._fs.create(draft, True)
-        out.write(bytearray(json.dumps(asdict(manifest)).encode()))
-        out.close()
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
-            raise RuntimeError(f"version {manifest.version} was committed by another writer")
+        self.log.commit(manifest.version, asdict(manifest))
 
     def _read(self, folders: list[str]) -> DataFrame:
         if not folders:
@@ -109,8 +88,8 @@ class HistoryStore:
         folder = f"fold={last.version + 1:08d}"
         # A folder of this name can only stem from a fold that never committed.
         rows.write.mode("overwrite").partitionBy("day").parquet(f"{self.root}/{folder}")
-        days = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{folder}")) if s.isDirectory()]
-        closed = [f"{folder}/{d}" for d in sorted(days) if d != f"day={_OPEN}"]
+        days = self.log.names(f"{self.root}/{folder}", only_folders=True)
+        closed = [f"{folder}/{d}" for d in days if d != f"day={_OPEN}"]
         opened = f"{folder}/day={_OPEN}" if f"day={_OPEN}" in days else None
         manifest = Manifest(last.version + 1, as_of, batch, opened, [*last.closed, *closed], last.late)
         self._commit(manifest)
