@@ -185,6 +185,39 @@ def nmhh_files(t: Tables) -> DataFrame:
     return out.select("callsign", "first_name", "last_name", "city", "applicant_type", "expired_date")
 
 
+@query("ursec_files", """
+SELECT 'CX' || (c_custkey % 10) || chr((65 + c_custkey // 6760 % 26)::INT) || chr((65 + c_custkey // 260 % 26)::INT) || chr((65 + c_custkey // 10 % 26)::INT) AS callsign,
+  CASE WHEN c_custkey % 4 <> 0 THEN 'Ana' END AS first_name, c_name AS last_name, 'Superior' AS license_class,
+  CASE WHEN c_custkey % 3 = 0 THEN '2029-04-30' ELSE '2030-12-01' END AS expired_date, CASE WHEN c_custkey % 4 <> 0 THEN 'Individual' ELSE 'Organization' END AS applicant_type
+FROM customer WHERE c_custkey < 175760""")
+def ursec_files(t: Tables) -> DataFrame:
+    """Sheet rows with a title line; a visiting permit with a later expiry loses, visitors are dropped.  The keys fill the name space."""
+    k = F.col("c_custkey")
+    call = F.expr("concat('cx', c_custkey % 10, chr(65 + floor(c_custkey / 6760) % 26), chr(65 + floor(c_custkey / 260) % 26), chr(65 + floor(c_custkey / 10) % 26))")
+    row = lambda call, permit, day: F.concat_ws(";", call, F.lit(permit), F.concat(F.lit('"'), "c_name", F.lit('"')), F.when(k % 4 == 0, "").otherwise("Ana"), F.lit("SUPERIOR"), day)
+    day = F.when(k % 3 == 0, "30 Abr. 2029").otherwise("2030-12-01")
+    lines = t.customer.filter(k < 175760).select(k.alias("k"), F.explode(F.array(
+        row(call, "IARP", F.lit("2099-01-01")), row(call, "Permanente", day), row(F.concat(F.lit("K"), k % 10, F.lit("AA/CX")), "", day), F.lit(";;;;;"))).alias("value"))
+    files = lines_with_heads(lines, scratch(t.spark), "Radioaficionados al 30/10/2026;;;;;", "Distintivo de llamada;Permiso;Apellidos/Razón social;NOMBRES;Categoría actual;Fecha vencimiento")
+    return registers.REGISTERS["ursec"].read(t.spark, files, None).select("callsign", "first_name", "last_name", "license_class", "expired_date", "applicant_type")
+
+
+@query("bnetza_files", f"""
+SELECT 'DA' || (p_partkey % 10) || {letters("(p_partkey // 10)")} AS callsign, 'Eva' AS first_name, CASE WHEN p_partkey % 5 = 0 THEN 'Muster-Mann' ELSE 'Muster' END AS last_name,
+  'Ort' || p_size AS city, '38100' AS postal_code, CASE WHEN p_partkey % 2 = 0 THEN 'A' ELSE 'E' END AS license_class, 'Club station' AS applicant_type
+FROM part WHERE p_partkey % 7 <> 0""")
+def bnetza_files(t: Tables) -> DataFrame:
+    """Callbook pages of forty entries, some over two lines with a divided word, some over a page's end; a wrong class is rejected."""
+    k = F.col("p_partkey")
+    call = F.expr(f"concat('DA', p_partkey % 10, {letters('floor(p_partkey / 10)')})")
+    klass = F.when(k % 7 == 0, "Q").when(k % 2 == 0, "A").otherwise("E")
+    text = F.concat(call, F.lit(", "), klass, F.lit(", Eva Muster"), F.when(k % 5 == 0, "-\nMann").otherwise(""), F.lit("; Weg 1,"), F.when(k % 40 == 39, "\f").otherwise("\n"), F.lit("38100 Ort"), "p_size")
+    lines = t.part.select(k.alias("k"), text.alias("value"))
+    files = lines_with_heads(lines, scratch(t.spark), "Inhalt\n3 Liste der Klubstationen ..... 7\f3 Liste der Rufzeichen der Klubstationen\ngemäß Gesetz\n")
+    out = registers.REGISTERS["bnetza"].read(t.spark, files, None)
+    return out.select("callsign", "first_name", "last_name", "city", "postal_code", "license_class", "applicant_type")
+
+
 # --- reference tables ----------------------------------------------------------------------------
 
 

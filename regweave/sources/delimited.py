@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -57,13 +58,14 @@ def header_cells(found: Profile, sep: str, encoding: str = "UTF-8") -> list[str]
 
 
 def table(spark: SparkSession, path: str, columns: dict[str, int | None], sep: str = ",", encoding: str = "UTF-8", fallback: str | None = None,
-          header_tokens: set[str] | None = None, required: list[str] | None = None, title: str | None = None) -> DataFrame:
+          header_tokens: set[str] | None = None, required: list[str] | None = None, title: str | None = None,
+          key: Callable[[str], str] = str.upper) -> DataFrame:
     """Named columns of delimited files, trimmed, blank to null, and ``_ord``.
 
     Quotes as in RFC 4180: a quoted cell may hold separators, doubled quotes and line breaks.  ``columns`` gives the
     position of a column that no header names (``None``: it is null then).  Every file starts with a header, whose
     ``required`` names must be there; with ``header_tokens`` only files whose first cell is one of them do.  ``title``:
-    start of a line that may stand above the header.  ``fallback``: code page of files that are not UTF-8.
+    start of a line that may stand above the header.  ``key``: how names are compared.  ``fallback``: code page of files that are not UTF-8.
     Files whose quotes do not pair up are read as they are and named in the log.
     """
     files = profile(spark, path, title)
@@ -78,10 +80,10 @@ def table(spark: SparkSession, path: str, columns: dict[str, int | None], sep: s
         position = dict(columns)
         if header_tokens is None or (head and head[0].strip().lower() in header_tokens):
             headed.add(name)
-            at = {h.strip().upper(): i for i, h in reversed(list(enumerate(head)))}
-            if missing := [c for c in required or [] if c.upper() not in at]:
+            at = {key(h.strip()): i for i, h in reversed(list(enumerate(head)))}
+            if missing := [c for c in required or [] if key(c) not in at]:
                 raise GateError(f"{name}: missing column(s) {', '.join(missing)}")
-            position = {c: at.get(c.upper(), d) for c, d in columns.items()}
+            position = {c: at.get(key(c), d) for c, d in columns.items()}
         layouts[name] = tuple(position.values())
         widths[name in headed] = max([widths[name in headed], len(head), *(p + 1 for p in position.values() if p is not None)])
     plain = [name for name, found in files.items() if fallback is not None and not found.utf8]

@@ -17,7 +17,7 @@ from regweave.functions.labels import (
 )
 from regweave.functions.numbers import to_double
 from regweave.functions.text import (
-    decode_numeric_entities, split_eastern_name, split_western_name, squeeze, strip, town_only,
+    decode_numeric_entities, fold_text, split_eastern_name, split_western_name, squeeze, strip, town_only,
     wordless_to_null,
 )
 from regweave.operators.assemble import LISTS, callbook_entries
@@ -73,6 +73,8 @@ AR_HEADERS = {"radioaficionado": "name", "institucion": "name", "categoria": "cl
 # Uruguay.
 UY_HEADERS = {"distintivo de llamada": "callsign", "permiso": "permit", "apellidos/razon social": "surnames",
               "nombres": "given", "categoria actual": "class", "fecha vencimiento": "expiry"}
+# Start of the line above the header of the list.
+UY_TITLE = "Radioaficionados"
 # Hungary: header text to look for in a column title.
 HU_HEADERS = {"callsign": "call sign", "name": "name of licensee", "city": "city", "street": "utca",
               "validity": "validity", "class": "eng.kat", "morse": "morse", "responsible": "felelős kezelő",
@@ -455,6 +457,13 @@ def uy_records(rows: DataFrame, synced_at: str | None = None) -> DataFrame:
     )
 
 
+def read_uy(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
+    """Sheet rows as semicolon CSV, lines of any kind above the header left out by their start; names matched without accents and case."""
+    rows = delimited.table(spark, path, dict.fromkeys(UY_HEADERS), ";", required=list(UY_HEADERS), title=UY_TITLE, key=fold_text)
+    named = rows.select(*[F.col(f"`{h}`").alias(field) for h, field in UY_HEADERS.items()], "_ord").filter("callsign is not null")
+    return uy_records(named, synced_at)
+
+
 # --- Hungary -------------------------------------------------------------------------------
 
 
@@ -540,10 +549,27 @@ def read_de(lines: DataFrame, synced_at: str | None = None) -> DataFrame:
     return de_records(entries, synced_at)
 
 
+def page_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc, page, line_no, text)`` of text files whose pages end in form feeds, read page by page by many tasks.
+
+    A page has its end at least, so split start and count of pages in the task, added, grow with the pages of a file.
+    """
+    pages = spark.read.option("lineSep", "\f").text(path).select("value", base.file_order())
+    count = F.col("_ord.row").bitwiseAND(F.lit((1 << 33) - 1))
+    lines = F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("line_no", "text")
+    return pages.select(F.col("_ord.path").alias("doc"), (F.col("_ord.block") + count).alias("page"), lines).withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+def read_de_pages(spark: SparkSession, path: str, synced_at: str | None = None) -> DataFrame:
+    """Callbook as text with form feeds between its pages."""
+    return read_de(page_lines(spark, path), synced_at)
+
+
 REGISTERS = {
     r.tag: r
     for r in (
         Register("fcc", read_us), Register("ised", read_ca), Register("acma", read_au), Register("nkom", read_no),
         Register("anatel", read_br), Register("enacom", read_ar), Register("nmhh", read_hu), Register("uke", read_pl),
+        Register("bnetza", read_de_pages), Register("ursec", read_uy),
     )
 }
