@@ -162,8 +162,8 @@ _S = r"\s\x{85}\p{Z}"
 _SQL_DIGITS = rf"^[{_S}]*\p{{Nd}}[\p{{Nd}}{_S}-]*$"
 _SQL_PLOT = rf"(?i)(^|[^{_W}])(" + "|".join(PLOT_WORDS) + rf")\.?[{_S}]*\p{{Nd}}"
 _SQL_NUMBER = rf"(?i)(^|[{_S}])\p{{Nd}}+[{_S}]?[a-z]?([^{_W}]|$)"
-_SQL_SUFFIX = rf"(?i)(" + "|".join(STREET_SUFFIXES) + rf")([^{_W}]|$)"
-_SQL_WORD = rf"(?i)(^|[{_S}])(" + "|".join(STREET_WORDS) + rf")([{_S}]|$)"
+_SQL_SUFFIX = rf"(?i)(" + "|".join(STREET_SUFFIXES).replace(".", r"\.") + rf")([^{_W}]|$)"
+_SQL_WORD = rf"(?i)(^|[{_S}])(" + "|".join(STREET_WORDS).replace(".", r"\.") + rf")([{_S}]|$)"
 
 
 def _sql_words(x: str) -> str:
