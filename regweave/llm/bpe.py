@@ -32,7 +32,7 @@ from regweave.session import stored
 #: Characters of a piece from which on it is cut, and of the parts that it is cut into.
 LEAF = 4096
 #: Pieces that a worker remembers before it starts afresh, with and without their decoded texts.
-REMEMBERED, REMEMBERED_IDS = 800_000, 1_200_000
+REMEMBERED, REMEMBERED_IDS = 250_000, 1_200_000
 
 ENCODED = "ids binary, decoded string"
 

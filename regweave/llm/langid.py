@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from regweave.llm.batches import batch_of, slices
 from regweave.llm.catalog import query
 
-#: Bounds of the model: languages (most rows first), labelled rows and characters for each.
-LANGUAGES, ROWS, CHARACTERS = 64, 200, 24_000
-#: Characters that are parsed in step; symbols of the alphabet beside the break and the rare letter.
-SEGMENT, SYMBOLS = 128, 60
-BREAK, RARE = 0, 1
+#: Bounds of the model: languages (most rows first), labelled rows and characters for each, characters of all.
+LANGUAGES, ROWS, CHARACTERS, TOTAL = 1024, 200, 24_000, 400_000
+#: Characters that are parsed in step; letters with a symbol of their own; symbols that all other letters are dealt to.
+SEGMENT, SYMBOLS, SHARED = 128, 60, 64
+BREAK = 0
 
 
 def automaton(codes: list[int], symbols: int) -> np.ndarray:
@@ -64,7 +64,7 @@ def automaton(codes: list[int], symbols: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Automata of the languages over a common alphabet."""
+    """Automata of the languages over a common alphabet: a break, shared symbols, the most frequent letters."""
 
     languages: list[str]
     alphabet: str
@@ -85,7 +85,10 @@ class Model:
 
     def _code(self, point: int) -> int:
         c = chr(point)
-        return self.alphabet.index(c) + 2 if c in self.alphabet else RARE if c.isalpha() else BREAK
+        if c in self.alphabet:
+            return self.alphabet.index(c) + 1 + SHARED
+        # Letters beyond the alphabet share symbols by a hash, so texts of a script without any keep their letters apart.
+        return 1 + (point * 2654435761 >> 16) % SHARED if c.isalpha() else BREAK
 
     def _table(self) -> np.ndarray:
         if not hasattr(self, "_known"):
@@ -134,10 +137,11 @@ def phrases(table: np.ndarray, steps: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[tuple[str, str]], characters: int = CHARACTERS, symbols: int = SYMBOLS) -> Model:
-    """Model of (language, text) rows: each row of a language gives an equal share of its characters."""
+    """Model of (language, text) rows: each row of a language gives an equal share of its characters, and each language one of all."""
     by: dict[str, list[str]] = {}
     for lang, text in rows:
         by.setdefault(lang, []).append(text)
+    characters = min(characters, max(1, TOTAL // max(1, len(by))))
     counts: dict[str, int] = {}
     samples = {}
     for lang, texts in sorted(by.items()):
@@ -151,7 +155,7 @@ def train(rows: list[tuple[str, str]], characters: int = CHARACTERS, symbols: in
     model = Model(list(samples), alphabet, [], [])
     for sample in samples.values():
         codes = model.codes(sample).tolist()
-        table = automaton(codes, len(alphabet) + 3)
+        table = automaton(codes, len(alphabet) + SHARED + 2)
         table[:, -1] = np.arange(len(table))  # the padding symbol stays where it is
         model.tables.append(table)
         model.bits.append(float(np.log2(max(2, len(codes)))))
@@ -193,7 +197,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
     """
     docs = docs.drop(pred, score)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{pred}` string, `{score}` double"])
-    # Bounded by the constants above: at most LANGUAGES x 2 CHARACTERS states.
+    # Bounded by the constants above: at most 2 TOTAL states.
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.alphabet, model.tables, model.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Statistics the trees see, with the direction of their constraint (-1: more is never better).
 FEATURES = {
     "symbols_per_word": -1, "upper_share": -1, "repeat_share": -1, "dup_line_share": -1, "pipe_share": -1, "bang_share": -1,
-    "mean_word": 0, "log_words": 0, "digit_share": 0, "distinct_share": 0, "stop_share": 0, "punct_share": 0, "line_words": 0,
+    "mean_word": 0, "log_words": 0, "digit_share": 0, "distinct_share": 0, "short_share": 0, "punct_share": 0, "line_words": 0,
 }
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 
@@ -182,13 +182,15 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     known = labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull()).select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_y"))
     known = known.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text")).join(known, "_id")
+    # Of rows that share an id one is taken, the least text.
+    rows = rows.groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("_y", pa.int32()), ("x", pa.list_(pa.float64()))])
         for part, texts in slices(batches, "_text"):
             yield batch_of(schema, part.column("_y"), [statistics(t)[1] for t in texts])
 
-    got = sorted((r._y, r.x) for r in rows.mapInArrow(run, "_y int, x array<double>").limit(4 * sample).collect())
+    got = sorted((r._y, r.x) for r in rows.mapInArrow(run, "_y int, x array<double>").collect())
     x = np.array([g[1] for g in got], float).reshape(len(got), len(FEATURES))
     return grow(x, np.array([g[0] for g in got], float), list(FEATURES.values()))
 
@@ -212,7 +214,7 @@ def judge(docs: DataFrame, trees: Trees, id: str = "doc_id", text: str = "text",
             score = model.score(np.array([g[1] for g in got], float).reshape(len(got), len(FEATURES)))
             n, repeat = base[:, 0], base[:, 4]
             failed = (n < FEWEST_WORDS) | (100 * repeat > REPEATED_PERCENT * n)
-            columns = [part.column("_id"), *(pa.array(base[:, i]) for i in range(len(BASE))), pa.array(failed), pa.array(score), pa.array(~failed & (score > floor))]
+            columns = [part.column("_id"), *(pa.array(base[:, i]) for i in range(len(BASE))), pa.array(failed), pa.array(score), pa.array(~failed & (score >= floor))]
             yield pa.RecordBatch.from_arrays(columns, names=["_id", *BASE, "base_failed", "score", "kept"])
 
     out = docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, {counts}, base_failed boolean, score double, kept boolean")

@@ -551,3 +551,49 @@ def test_contaminated_equals_brute_force_over_edited_passages(spark):
     for r in found:
         part = decontam.fold(dict(rows)[r.doc_id].encode())[r.start : r.end]
         assert least_edits(decontam.fold(dict(items)[r.item_id].encode()), part) <= r.edits
+
+
+def test_languages_of_many_scripts_and_many_languages(spark):
+    rng = random.Random(6)
+    scripts = {"zh": "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后小么心多天而能好都然没日于起还发成事只作当想看文无开手十用主行方又如前所本见经头面公同三已老从动两长",
+               "ja": "のにはをたがでてとしれさあるいもするからなことまりよどそうだけっんえせおみめわつ日本人年大学者国中出生時会社行事見分後前間自何上気地方新場員立開手力問代明", "ko": "이다는에의을가고하지를로한은기도사시정인리서자대어나일해보스그만전수부제상라아주원조여구동마국선비성장들과유미공무경",
+               "el": "αβγδεζηθικλμνξοπρστυφχψω", "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "he": "אבגדהוזחטיכלמנסעפצקרשת", "en": "abcdefghijklmnopqrstuvwxyz", "fr": "abcdefghijklmnopqrstuvwxyzéèàçêîôû"}
+
+    def words_of(letters, seed):
+        r = random.Random(seed)
+        weights = [1 / (i + 1) for i in range(len(letters))]
+        return ["".join(r.choices(letters, weights, k=r.randrange(2, 7))) for _ in range(150)]
+
+    spoken = {lang: words_of(letters, lang) for lang, letters in scripts.items()}
+    rows = [(i, " ".join(rng.choices(spoken[lang], k=40)), lang) for i, lang in enumerate(sorted(scripts) * 25)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = langid.predict(docs.filter(langid.held_out("doc_id")), langid.fit(docs)).collect()
+    assert len(got) > 30 and all(r.lang == r.lang_pred for r in got)
+    # More languages than 64: each has a part of the model.
+    spoken = {f"l{n}": words_of("abcdefghijklmnop", n) for n in range(90)}
+    rows = [(i, " ".join(rng.choices(spoken[lang], k=60)), lang) for i, lang in enumerate(sorted(spoken) * 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+    got = langid.predict(docs.filter(langid.held_out("doc_id")), model).collect()
+    assert len(model.languages) == 90 and sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got)
+
+
+def test_without_labels_the_quality_rules_keep_what_passes_the_fixed_ones(docs):
+    labels = docs.select("doc_id", F.lit(None).cast("int").alias("quality"))
+    rows = quality.judge(docs, quality.fit(docs, labels)).collect()
+    assert all(r.kept != r.base_failed for r in rows) and any(r.kept for r in rows)
+
+
+def test_base_counts_of_quality_equal_brute_force(docs, texts):
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality.judge(docs, quality.grow(np.empty((0, 13)), np.empty(0), [0] * 13)).collect()}
+    for d, t in texts:
+        words = [w.decode() for w in t.encode().split()]
+        seen, dup = set(), 0
+        for line in t.split("\n"):
+            if line.encode().split():
+                dup += line in seen
+                seen.add(line)
+        windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        hit = {k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)}
+        want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit), len(words) < 20 or 100 * len(hit) > 30 * len(words))
+        assert got[d] == want

@@ -40,11 +40,25 @@ def test_stages_handle_nulls_ties_and_empty_tables(spark, tmp_path):
         assert sorted(r.doc_id for r in docs.collect()) == ([1, 3] if data else [])
 
 
+def test_the_language_stage_uses_its_verdict(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    blank = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, None).otherwise(F.col("lang")))
+    after = corpus_pipeline.language(spark, blank, SF)
+    got, given = {r.doc_id: r.lang for r in after.collect()}, {r.doc_id: r.lang for r in docs.collect()}
+    filled = [d for d in got if d % 3 == 0]
+    assert None not in got.values() and sum(got[d] == given[d] for d in filled) >= 0.98 * len(filled)
+    assert all(got[d] == given[d] for d in got if d % 3)
+    # Without labels, or without the column, nothing is rejected.
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, none, SF).count() == docs.count() == corpus_pipeline.language(spark, docs.drop("lang"), SF).count()
+
+
 @pytest.mark.parametrize("name", sorted(load_queries()[1]))
 def test_sql_gives_the_same_rows(spark, name):
     queries, oracles = load_queries()
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "labels"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = con.execute(oracles[name])
     columns = [d[0] for d in want.description]
     rows = queries[name](spark, SF).select(columns).collect()
