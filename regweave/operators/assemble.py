@@ -15,6 +15,7 @@ from regweave.functions.text import repair_controls, strip
 
 # --- fixed values ------------------------------------------------------------------
 BLOCK_LINES = 4096
+PIECE_LINES = 256
 ENTRY_START = r"^([A-Z0-9/]{3,12}), ([A-Z]{1,2}), ?(.*)$"
 HEADING = r"^([1-6]) Liste der "
 PAGE_NUMBER = r"^Seite \d+$"
@@ -63,18 +64,48 @@ def previous_value(rows: DataFrame, keys: list[str], position: str, value: str,
     )
 
 
-def join_lines(lines: DataFrame, keys: list[str], line_no: str, text: str) -> DataFrame:
-    """Text of each island: lines in order, joined by a space, except that a line that
-    ends in a hyphen continues the word.  An entry is a handful of lines."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct(line_no, text))), lambda x: x[text])
-    joined = F.aggregate(
-        ordered,
+def carry_last(rows: DataFrame, keys: list[str], position: str, value: str, out: str, block_rows: int = BLOCK_LINES) -> DataFrame:
+    """The last value that was set at or before each row, in ``position`` order within ``keys``; null before the first.
+
+    Each block of rows comes down to one transition, to keep the state or to set it; the transitions are composed
+    over a table with one row per block, and the state at its start is handed back to the block.
+    """
+    marked = rows.withColumn("_block", F.floor(F.col(position) / block_rows))
+    local = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    ends = marked.groupBy(*keys, "_block").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(position))).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_block", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    return (
+        marked.withColumn("_here", F.last(value, ignorenulls=True).over(local))
+        .join(carried, [*keys, "_block"])
+        .withColumn(out, F.coalesce("_here", "_carried"))
+        .drop("_block", "_here", "_carried")
+    )
+
+
+def _glued(parts: Column) -> Column:
+    """Parts joined by a space, but a part that ends in a hyphen is continued."""
+    return F.aggregate(
+        parts,
         F.lit(""),
         lambda acc, s: F.when((acc == "") | acc.endswith("-"), F.concat(acc, s)).otherwise(
             F.concat(acc, F.lit(" "), s)
         ),
     )
-    return lines.groupBy(*keys).agg(joined.alias("entry_text"), F.count(F.lit(1)).alias("n_lines"))
+
+
+def join_lines(lines: DataFrame, keys: list[str], line_no: str, text: str, piece: int = PIECE_LINES) -> DataFrame:
+    """Text of each island: lines in order, joined by a space, except that a line that
+    ends in a hyphen continues the word.
+
+    Lines are joined in pieces of bounded length first, so an island of any length is shared by many tasks up to
+    its last step, which sees one row a piece.
+    """
+    def ordered(at: str, of: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(at, of))), lambda x: x[of])
+
+    pieces = lines.groupBy(*keys, F.floor(F.col(line_no) / piece).alias("_piece")).agg(_glued(ordered(line_no, text)).alias("_text"), F.count(F.lit(1)).alias("_n"))
+    return pieces.groupBy(*keys).agg(_glued(ordered("_piece", "_text")).alias("entry_text"), F.sum("_n").alias("n_lines"))
 
 
 def callbook_entries(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,18 +135,11 @@ def callbook_entries(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # A heading segment without dot leaders opens a list, once list 1 was reached.
     number = F.regexp_extract("head", HEADING, 1).try_cast("int")
-    opened = heads.filter("kind = 'H' and not leaders").select(
-        "doc", F.col("line_no").alias("from_line"), number.alias("list_no"),
-        F.lead("line_no").over(Window.partitionBy("doc").orderBy("line_no")).alias("to_line"),
-    )  # at most a few headings per document
-    lines_in = seg.join(heads.select("doc", "segment", "kind", "leaders"), ["doc", "segment"], "left").filter(
-        "kind is distinct from 'H' and text <> ''"
-    )
-    placed = lines_in.join(
-        opened,
-        (lines_in["doc"] == opened["doc"]) & (F.col("line_no") > F.col("from_line"))
-        & (F.col("to_line").isNull() | (F.col("line_no") < F.col("to_line"))),
-    ).drop(opened["doc"])
+    opened = heads.filter("kind = 'H' and not leaders").select("doc", "line_no", number.alias("_opens"))
+    lines_in = seg.join(heads.select("doc", "segment", "kind", "leaders"), ["doc", "segment"], "left")
+    # The list of a line is the one that the last opening heading has set.
+    listed = carry_last(lines_in.join(opened, ["doc", "line_no"], "left"), ["doc"], "line_no", "_opens", "list_no")
+    placed = listed.filter("kind is distinct from 'H' and text <> '' and list_no is not null").drop("_opens")
     numbered = number_islands(placed, "doc", "line_no", F.col("text").rlike(ENTRY_START), "entry_no")
     stray = numbered.filter("entry_no = 0").select("doc", "line_no", "text", F.lit("stray line").alias("problem"))
     rest = F.when(F.col("text").rlike(ENTRY_START), F.regexp_extract("text", ENTRY_START, 3)).otherwise(F.col("text"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave import sinks
+from regweave.operators.assemble import callbook_entries
 from regweave.operators.dedupe import union_all
 from regweave.plans.catalog import Tables, query
 from regweave.plans.inputs import call_of, customer_state, iso_day, scratch, state_sql
@@ -208,14 +209,25 @@ SELECT 'DA' || (p_partkey % 10) || {letters("(p_partkey // 10)")} AS callsign, '
 FROM part WHERE p_partkey % 7 <> 0""")
 def bnetza_files(t: Tables) -> DataFrame:
     """Callbook pages of forty entries, some over two lines with a divided word, some over a page's end; a wrong class is rejected."""
+    out = registers.REGISTERS["bnetza"].read(t.spark, _callbook(t), None)
+    return out.select("callsign", "first_name", "last_name", "city", "postal_code", "license_class", "applicant_type")
+
+
+def _callbook(t: Tables) -> str:
     k = F.col("p_partkey")
     call = F.expr(f"concat('DA', p_partkey % 10, {letters('floor(p_partkey / 10)')})")
     klass = F.when(k % 7 == 0, "Q").when(k % 2 == 0, "A").otherwise("E")
     text = F.concat(call, F.lit(", "), klass, F.lit(", Eva Muster"), F.when(k % 5 == 0, "-\nMann").otherwise(""), F.lit("; Weg 1,"), F.when(k % 40 == 39, "\f").otherwise("\n"), F.lit("38100 Ort"), "p_size")
     lines = t.part.select(k.alias("k"), text.alias("value"))
-    files = lines_with_heads(lines, scratch(t.spark), "Inhalt\n3 Liste der Klubstationen ..... 7\f3 Liste der Rufzeichen der Klubstationen\ngemäß Gesetz\n")
-    out = registers.REGISTERS["bnetza"].read(t.spark, files, None)
-    return out.select("callsign", "first_name", "last_name", "city", "postal_code", "license_class", "applicant_type")
+    return lines_with_heads(lines, scratch(t.spark), "Inhalt\n3 Liste der Klubstationen ..... 7\f3 Liste der Rufzeichen der Klubstationen\ngemäß Gesetz\n")
+
+
+@query("callbook_order", f"""
+WITH c AS (SELECT p_partkey AS k, 'DA' || (p_partkey % 10) || {letters("(p_partkey // 10)")} AS callsign FROM part WHERE p_partkey % 7 <> 0)
+SELECT callsign AS text, 'out of order' AS problem FROM (SELECT *, lag(callsign) OVER (PARTITION BY k // {ROWS_A_FILE} ORDER BY k) AS before FROM c) WHERE callsign < before""")
+def callbook_order(t: Tables) -> DataFrame:
+    """Entries that come before their predecessor in the order of callsigns; lines that belong to nothing would be listed too."""
+    return callbook_entries(registers.page_lines(t.spark, _callbook(t)))[1].select("text", "problem")
 
 
 # --- reference tables ----------------------------------------------------------------------------

@@ -108,3 +108,18 @@ def test_as_of_splits_a_hot_key(spark, monkeypatch, minutes):
     sizes = [r["count"] for r in seen[0].filter("not _start").groupBy("_part").count().collect()]
     assert len(sizes) >= 10 and max(sizes) < 3 * 3000 / 12
     assert not re.search(r"Window \[[^\]]*\], \[_k", explain(out))
+
+
+def test_state_is_carried_over_blocks_and_long_islands_are_joined_in_pieces(spark):
+    from regweave.operators import assemble
+
+    rows = [("d", i, "A" if i == 3 else "B" if i == 50 else None) for i in range(100)] + [("e", i, None) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc string, at bigint, v string")
+    got = {(r.doc, r.at): r.now for r in assemble.carry_last(df, ["doc"], "at", "v", "now", block_rows=7).collect()}
+    assert got == {(d, i): None if d == "e" or i < 3 else "A" if i < 50 else "B" for d, i, _ in rows}
+    words = [f"w{i}-" if i % 9 == 4 else f"w{i}" for i in range(1000)]
+    lines = spark.createDataFrame([("x", i, w) for i, w in enumerate(words)], "k string, at bigint, w string")
+    want = " ".join(words).replace("- ", "-")
+    for piece in (1, 16, 5000):
+        row = assemble.join_lines(lines, ["k"], "at", "w", piece).first()
+        assert row.entry_text == want and row.n_lines == 1000
