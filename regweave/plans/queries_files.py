@@ -364,6 +364,15 @@ def current_sink(t: Tables) -> DataFrame:
         "callsign", "last_name", "city", "license_class", "dxcc", "source", "uses_lotw", F.size("allstar_nodes").alias("nodes"))
 
 
+@query("stored_lookup", f"""WITH {state_sql("s", "2002-06-01")}
+SELECT callsign, last_name, source FROM s WHERE callsign IN ('K42', 'K777', 'K1040', 'K9', 'absent')""")
+def stored_lookup(t: Tables) -> DataFrame:
+    """Keys looked up in the written file: row groups and Bloom filters leave few rows to read."""
+    path = scratch(t.spark)
+    sinks.write_current(customer_state(t, "2002-06-01"), path)
+    return t.spark.read.schema(RECORD).parquet(path).filter(F.col("callsign").isin("K42", "K777", "K1040", "K9", "absent")).select("callsign", "last_name", "source")
+
+
 @query("history_sink", """
 SELECT 'K' || o_custkey AS callsign, strftime(o_orderdate, '%Y-%m-%d') AS valid_from, o_orderpriority AS city, NULL::VARCHAR AS county, count(*) AS n
 FROM orders GROUP BY ALL""")

@@ -12,10 +12,19 @@ from regweave.operators.guards import require_only_source
 from regweave.operators.history import history_order
 
 
-def write_sorted(df: DataFrame, path: str, keys: list, partitions: int | None = None) -> None:
-    """Parquet with globally ordered part files."""
+def write_sorted(df: DataFrame, path: str, keys: list, partitions: int | None = None, lookup: str | None = None, block_bytes: int | None = None) -> None:
+    """Parquet with globally ordered part files.
+
+    The column to ``lookup`` rows by, the first key or another one, gets Bloom filters: statistics of the row groups leave
+    one of them for a value of the first key, the filters for a value of any other column, or for an absent one.
+    """
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("errorifexists").parquet(path)
+    writer = ranged.sortWithinPartitions(*keys).write.mode("errorifexists")
+    if lookup is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+    if block_bytes is not None:
+        writer = writer.option("parquet.block.size", block_bytes)
+    writer.parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "callsign") -> None:
@@ -29,12 +38,12 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "callsign
 
 def write_current(records: DataFrame, path: str, partitions: int | None = None) -> None:
     """Current records in the fixed schema and order."""
-    write_sorted(schemas.conform(records, schemas.RECORD), path, ["callsign"], partitions)
+    write_sorted(schemas.conform(records, schemas.RECORD), path, ["callsign"], partitions, lookup="callsign")
 
 
 def write_history(history: DataFrame, path: str, partitions: int | None = None) -> None:
     """Interval history in its own fixed schema."""
-    write_sorted(schemas.conform(history, schemas.HISTORY), path, history_order(), partitions)
+    write_sorted(schemas.conform(history, schemas.HISTORY), path, history_order(), partitions, lookup="callsign")
 
 
 def read_history(spark, path: str) -> DataFrame:
@@ -44,7 +53,7 @@ def read_history(spark, path: str) -> DataFrame:
 
 def write_ledger(df: DataFrame, path: str) -> None:
     """Id ledger (current or history rows with their id)."""
-    write_sorted(df, path, ["id"])
+    write_sorted(df, path, ["id"], lookup="callsign" if "callsign" in df.columns else None)
 
 
 def latest_artifact(spark, pattern: str) -> str | None:

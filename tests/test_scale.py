@@ -123,3 +123,27 @@ def test_state_is_carried_over_blocks_and_long_islands_are_joined_in_pieces(spar
     for piece in (1, 16, 5000):
         row = assemble.join_lines(lines, ["k"], "at", "w", piece).first()
         assert row.entry_text == want and row.n_lines == 1000
+
+
+def scanned(df):
+    """Rows that the scans of a query handed on."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_a_look_up_reads_one_row_group(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(0, 200_000).select(F.format_string("K%07d", F.pmod(F.col("id") * 7919, F.lit(200_000))).alias("callsign"), F.col("id"), F.md5(F.col("id").cast("string")).alias("name"))
+    sinks.write_sorted(rows, str(tmp_path / "t"), ["callsign"], partitions=4, lookup="name", block_bytes=400_000)
+    groups = sum(pq.ParquetFile(f).num_row_groups for f in (tmp_path / "t").glob("*.parquet"))
+    assert groups >= 8
+    table = spark.read.parquet(str(tmp_path / "t"))
+    for column in ("callsign", "name"):
+        value = table.filter("id = 777").first()[column]
+        found = table.filter(F.col(column) == value)
+        assert [r.id for r in found.collect()] == [777] and scanned(found) <= 1.5 * 200_000 / groups
+    absent = table.filter(F.col("name") == "0" * 32)
+    assert absent.collect() == [] and scanned(absent) <= 1.5 * 200_000 / groups
