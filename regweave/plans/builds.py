@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -24,13 +25,17 @@ from regweave.session import stored
 from regweave.sources.registers import REGISTERS
 
 
+# What says that the cluster failed and not the source: such a build must not go on with fewer sources.
+_LOST = re.compile("OutOfMemoryError|No space left|ExecutorLost|FetchFailed|SparkContext was shut down|Connection refused|Disk quota")
+
+
 def collect_streams(
     readers: dict[str, Callable[[], DataFrame]], include_restricted: bool = False
 ) -> tuple[dict[str, DataFrame], list[tuple[str, str, str]]]:
     """Read every source on its own; a failing one is reported and left out.
 
     Each source is stored once, so its failure shows here, and the merge reads columns
-    instead of parsing text again.  No source at all is an error.
+    instead of parsing text again.  Lost executors, memory or storage stop the build.  No source at all is an error.
     """
     streams: dict[str, DataFrame] = {}
     report: list[tuple[str, str, str]] = []
@@ -43,6 +48,8 @@ def collect_streams(
             streams[tag] = stored(read())
             report.append((tag, "ok", ""))
         except Exception as error:  # any read or parse failure of one source
+            if _LOST.search(str(error)):
+                raise
             report.append((tag, "skipped", str(error)))
     if not streams:
         raise GateError(f"no source could be read: {report}")

@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regweave import sinks
+from regweave.functions.labels import CALLSIGN_SHAPES
+from regweave.functions.text import repair_controls
 from regweave.operators.assemble import callbook_entries
 from regweave.operators.dedupe import union_all
+from regweave.operators.guards import require_columns
+from regweave.plans.builds import collect_streams
 from regweave.plans.catalog import Tables, query
 from regweave.plans.inputs import call_of, customer_state, iso_day, scratch, state_sql
+from regweave.plans.inputs import registers as registers_of
 from regweave.schemas import HISTORY, RECORD, TALKGROUP
 from regweave.session import stored
 from regweave.sources import directory, reference, registers
@@ -419,3 +424,58 @@ def flat_lists(t: Tables) -> DataFrame:
     """List columns as comma strings for flat consumers."""
     lists = stored(t.lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(F.sort_array(F.collect_set("l_suppkey")).cast("array<string>").alias("nodes")))
     return sinks.flatten_lists(lists, ["nodes"])
+
+
+# --- directory XML, repairs, build report ------------------------------------------------------------
+
+
+@query("registry_xml", """
+SELECT 'XLX' || to_base(p_partkey, 36, 3) AS id, 'h' || p_size AS host, 'R & B <' || p_brand AS description, CASE WHEN p_partkey % 3 = 0 THEN 'AT&T <x' END AS country,
+  CASE WHEN length(to_base(p_partkey, 36, 3)) = 3 THEN 'XRF' || to_base(p_partkey, 36, 3) END AS callsign
+FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0""")
+def registry_xml(t: Tables) -> DataFrame:
+    """Registry XML with bare ampersands and brackets; stale rows and rows without an address go."""
+    folder, k, now = scratch(t.spark), F.col("p_partkey"), 1_760_000_000
+    suffix = F.conv(k.cast("string"), 10, 36)
+    name = F.concat(F.lit("XLX"), F.when(F.length(suffix) < 3, F.lpad(suffix, 3, "0")).otherwise(suffix))
+    last = F.when(k % 7 == 0, now - 31 * 86400).when(k % 2 == 0, now - 29 * 86400)
+    element = F.concat(
+        F.lit("<reflector>\n<name>"), name, F.lit("</name><lastip>"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("h"), "p_size")), F.lit("</lastip><lastcontact>"),
+        F.coalesce(last.cast("string"), F.lit("")), F.lit("</lastcontact>\n<country>"), F.when(k % 3 == 0, "AT&T &lt;x").otherwise(""), F.lit("</country><comment>R & B <"), "p_brand", F.lit("</comment></reflector>"))
+    # The comment's bracket opens no tag: a space follows it.
+    t.part.select(F.regexp_replace(element, "B <", "B < ").alias("value")).write.text(folder)
+    out = directory.read_registry(t.spark, folder, now)
+    return out.select("id", "host", F.regexp_replace("description", "< ", "<").alias("description"), "country", "callsign")
+
+
+@query("control_repair", """
+SELECT c_custkey, 'Mü' || c_name || 'x' AS name FROM customer""")
+def control_repair(t: Tables) -> DataFrame:
+    """A leaked code-page byte is restored, other control characters go."""
+    return t.customer.select("c_custkey", repair_controls(F.concat(F.lit("M\x81\x00"), "c_name", F.lit("\x9f\x07x"))).alias("name"))
+
+
+@query("callsign_shapes", """
+WITH c AS (SELECT p_partkey AS k, p_size % 10 AS d FROM part), s AS (SELECT k, unnest([
+  {'source': 'bnetza', 'call': 'DA' || d || 'AB'}, {'source': 'anatel', 'call': 'PY' || d || 'ABC'}, {'source': 'nkom', 'call': 'LA' || d || 'AB'}, {'source': 'enacom', 'call': 'LU' || d || 'AB'},
+  {'source': 'ursec', 'call': 'CX' || d || 'AB'}, {'source': 'nmhh', 'call': 'HA' || d || 'AB'}, {'source': 'uke', 'call': 'SP' || d || 'AB'}]) AS x FROM c)
+SELECT x.source AS source, count(*) AS n, count(*) FILTER (WHERE k % 3 <> 0) AS accepted FROM s GROUP BY 1""")
+def callsign_shapes(t: Tables) -> DataFrame:
+    """Accepted callsigns of each register's national shape; every third key has one of another country's."""
+    k, d = F.col("p_partkey"), F.col("p_size") % 10
+    starts = {"bnetza": "DA", "anatel": "PY", "nkom": "LA", "enacom": "LU", "ursec": "CX", "nmhh": "HA", "uke": "SP"}
+    tails = {"anatel": "ABC"}
+    parts = [t.part.select(F.lit(tag).alias("source"), F.concat(F.when(k % 3 == 0, "QQ").otherwise(start), d, F.lit(tails.get(tag, "AB"))).rlike(CALLSIGN_SHAPES[tag]).alias("ok")) for tag, start in starts.items()]
+    return union_all(parts).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("accepted"))
+
+
+@query("build_report", """
+SELECT 'fcc' AS source, 'ok' AS status, '' AS reason, (SELECT count(*) FROM customer) AS n
+UNION ALL SELECT 'ised', 'skipped', 'ised: missing column(s) call', NULL UNION ALL SELECT 'nmhh', 'refused', 'restricted', NULL""")
+def build_report(t: Tables) -> DataFrame:
+    """Sources of a partial build: one read, one skipped for a missing column, one that needs the opt-in; the report is written and read."""
+    path, (fcc, *_) = scratch(t.spark), registers_of(t)
+    streams, report = collect_streams({"fcc": lambda: fcc, "ised": lambda: require_columns(t.supplier, ["call"], "ised"), "nmhh": lambda: fcc})
+    sinks.write_build_report(t.spark, report, path)
+    rows = union_all(list(streams.values())).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.read.schema("source string, status string, reason string").json(path).join(rows, "source", "left")

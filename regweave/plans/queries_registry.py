@@ -465,6 +465,20 @@ def interval_ids_query(t: Tables) -> DataFrame:
     return interval_ids(h2, second, prior).select("callsign", "valid_from", "valid_to", "id")
 
 
+@query("history_to_current", f"""WITH {IDS_SQL}, {EMPTY_HISTORY_SQL}, {fold_sql("h1", "h0", "s1", CUT1)}, {fold_sql("h2", "h1", "s2", CUT2)},
+ph AS (SELECT i1.id, h1.callsign, h1.valid_from FROM h1 JOIN i1 USING (callsign)),
+hi AS (SELECT h.callsign, h.valid_from, h.valid_to, CASE WHEN h.valid_to IS NOT NULL THEN coalesce(ph.id, i2.id) ELSE i2.id END AS id
+FROM h2 h LEFT JOIN ph ON ph.callsign = h.callsign AND ph.valid_from = h.valid_from LEFT JOIN i2 ON i2.callsign = h.callsign)
+SELECT hi.callsign, valid_from, valid_to, i2.license_class FROM hi JOIN i2 ON hi.id = i2.id""")
+def history_to_current(t: Tables) -> DataFrame:
+    """Intervals of the holders of today, joined to the current records on the id."""
+    first, second = _two_ids(t)
+    h1 = stored(_history(t, CUT1))
+    prior = h1.join(first.select("id", "callsign"), "callsign")
+    rows = interval_ids(fold_snapshot(h1, customer_state(t, CUT2), CUT2), second, prior).select("id", "callsign", "valid_from", "valid_to")
+    return rows.join(second.select("id", "license_class"), "id").drop("id")
+
+
 @query("explode_nodes", """
 SELECT 'K' || o_orderkey AS callsign, o_orderkey AS id, l_suppkey AS node FROM orders JOIN (
   SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) ON l_orderkey = o_orderkey""")

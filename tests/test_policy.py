@@ -50,3 +50,11 @@ def test_summits_are_written_with_the_opt_in_only(spark, tmp_path, opened):
     report = builds.write_parks(parks, none, None, str(tmp_path / "p"), summits=summits, include_restricted=opened)
     assert (tmp_path / "p" / "summits").exists() is opened
     assert report == ([] if opened else [("summits", "refused", "restricted")])
+
+
+def test_a_failing_cluster_is_no_failing_source(spark):
+    def lost():
+        raise RuntimeError("java.lang.OutOfMemoryError: Java heap space")
+
+    with pytest.raises(RuntimeError):
+        builds.collect_streams({"fcc": lambda: stream(spark, "fcc", "K1"), "ised": lost})
