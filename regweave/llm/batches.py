@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,10 +10,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Spark's Python workers live on, and the next stage has its own needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 1024, size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Sub-batches of bounded rows and bytes with the texts of ``column`` as UTF-8 bytes (null: empty).
 
-    A single text larger than ``size`` is a sub-batch of its own.
+    A single text larger than ``size`` is a sub-batch of its own.  Freed memory is given back at the end.
     """
     for batch in batches:
         at = 0
@@ -27,6 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 1024, siz
                 n += 1
             yield part.slice(0, n), texts[:n]
             at += n
+    give_back()
 
 
 def parts_of(batches: Iterator[pa.RecordBatch], column: str, rows: int = 8192, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
@@ -39,6 +49,7 @@ def parts_of(batches: Iterator[pa.RecordBatch], column: str, rows: int = 8192, s
             n = max(1, int(np.searchsorted(ends, done + size, side="right")) - at)
             yield batch.slice(at, min(n, rows))
             at += min(n, rows)
+    give_back()
 
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
