@@ -269,7 +269,7 @@ def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: s
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, schema = worker_words(path, True, leaf), None
-        for part in parts_of(batches, "_text"):
+        for part in parts_of(batches, "_text", rows=2048, size=2_000_000):
             schema = schema or pa.schema([("_id", part.schema.field("_id").type), ("ids", pa.binary()), ("decoded", pa.string())])
             pieces = Pieces(part.column("_text"))
             long = pieces.long_texts(leaf)
@@ -282,7 +282,7 @@ def encode(docs: DataFrame, path: str | None = None, id: str = "doc_id", text: s
             yield batch_of(schema, part.column("_id"), rows, decoded)
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts_of(batches, "_text"):
+        for part in parts_of(batches, "_text", rows=2048, size=2_000_000):
             keep = Pieces(part.column("_text")).long_texts(leaf)
             if keep.any():
                 yield part.filter(pa.array(keep))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regweave.llm.batches import batch_of, slices
+from regweave.llm.batches import slices
 from regweave.llm.catalog import query
 
 #: Bounds of the model: languages (most rows first), labelled rows and characters for each, characters of all.
@@ -202,7 +202,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*held.value)
-        for part, texts in slices(batches, text, rows=4096):
+        for part, texts in slices(batches, text, rows=1024, size=1_000_000):
             got = model.predict([t.decode() for t in texts])
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())],
                                              names=[*part.schema.names, pred, score])
