@@ -62,7 +62,9 @@ def hashes_of(words: pa.Array) -> np.ndarray:
 
 def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of each text, numbered: (hash of each different word, number of each word in order, words of each text)."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    # A copy whose characters start at 0: Arrow's ascii_lower garbles slices that begin further on.
+    texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     words = split.flatten()
     # White space at either end leaves an empty word.
     real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)

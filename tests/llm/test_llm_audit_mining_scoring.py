@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +176,21 @@ def test_lm_edge_rows(spark, monkeypatch):
     assert [(r.train_tokens, r.n_known, r.base_score, r.score) for r in none] == [(0, 0, 0.0, 0.0)]
 
 
+def test_words_of_a_slice_of_a_batch(spark):
+    texts = pa.array([None if i % 11 == 0 else f"Word{i} is  THE same\té {i % 7}" for i in range(9000)])
+    for at, n in ((0, 9000), (8192, 808), (17, 5), (9000, 0)):
+        hashes, words, sizes = lm.numbered(texts.slice(at, n))
+        own, again, counts = lm.numbered(pa.array(texts.slice(at, n).to_pylist(), pa.string()))
+        want = [(texts[i].as_py() or "").split() for i in range(at, at + n)]
+        assert sizes.tolist() == counts.tolist() == [len(w) for w in want]
+        assert hashes[words].tolist() == own[again].tolist() and len(hashes) == len({x.lower() for w in want for x in w})
+    # One task with more rows than a slice.
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "doc_id bigint, _text string").coalesce(1)
+    got = lm.word_counts(df).agg(F.sum("c"), F.count("*")).first()
+    want = [x for t in texts.to_pylist() for x in (t or "").lower().split()]
+    assert tuple(got) == (len(want) + 9000, len(set(want)) + 1)
+
+
 def test_gradients_and_a_law_over_all_words(monkeypatch):
     """One small step lowers the loss as far as its gradient says; the words' probabilities add up to 1."""
     for name, value in {"CLASSES": 3, "MEMBERS": 4, "WIDTH": 5, "LANES": 4, "STEPS": 6}.items():
