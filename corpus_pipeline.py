@@ -12,8 +12,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regweave.llm import bpe, decontam, jaccard, langid, templates
-from regweave.session import shared_folder
+from regweave.llm import bpe, decontam, jaccard, langid, simhash, templates
+from regweave.llm.components import components
+from regweave.session import shared_folder, stored
 
 
 def _apart(stage):
@@ -55,8 +56,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_apart
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that pairs with a 5-word Jaccard of 0.8 and more link: the one with the smallest id; of rows that share it, the first by text."""
-    groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    """One document of each group: the one with the smallest id; of rows that share it, the first by text.
+
+    Documents are linked by op1 (fingerprints of 3-word shingles at 2 or fewer differing bits) and, since it misses
+    some of them, by an exact pass over all pairs with a 5-word Jaccard of 0.8 and more.  A group is what either links.
+    """
+    texts = docs.select("doc_id", "text")
+    prints = simhash.near_duplicates(texts).select("fp", F.xxhash64(F.lit("print"), "root").alias("a")).distinct()
+    sets = jaccard.near_duplicates(texts).select("node", F.xxhash64(F.lit("set"), "root").alias("b")).distinct()
+    rows = jaccard.with_node(simhash.with_fingerprint(texts.withColumn("text", F.col("text").cast("string")), "fp"), "node").drop("text")
+    rows = stored(rows.join(prints, "fp").join(sets, "node").select("doc_id", "node", "a", "b"))
+    rows = rows.join(components(rows.select("a", "b").distinct()).withColumnRenamed("node", "a"), "a")
+    groups = rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("component")), "root")
     keepers = groups.filter(F.col("doc_id").eqNullSafe(F.col("component")))
     keepers = keepers.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), F.col("root").alias("_root")).distinct()
     rows = jaccard.with_node(docs, "_own").join(keepers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_node")))

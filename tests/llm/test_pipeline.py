@@ -53,6 +53,19 @@ def test_the_language_stage_uses_its_verdict(spark):
     assert corpus_pipeline.language(spark, none, SF).count() == docs.count() == corpus_pipeline.language(spark, docs.drop("lang"), SF).count()
 
 
+def test_near_duplicates_are_what_op1_or_the_exact_pass_links(spark):
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in rng.integers(0, 5000, 200)]
+    often = "alpha beta gamma " * 2000
+    rows = [(1, often), (2, often + " ".join(f"x{i}" for i in range(30))),  # equal fingerprints, Jaccard 0.1
+            (3, " ".join(words)), (4, " ".join([*words[:190], *"a b c d e f g h i j".split()])),  # Jaccard 0.9, many bits apart
+            (5, "another text of its own"), (None, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    ids = lambda pairs: {r.doc_id for r in pairs.collect() if r.component != r.doc_id and r.doc_id is not None}
+    assert 2 in ids(simhash.near_duplicates(docs)) and 4 not in ids(simhash.near_duplicates(docs))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [1, 3, 5, 6]
+
+
 @pytest.mark.parametrize("name", sorted(load_queries()[1]))
 def test_sql_gives_the_same_rows(spark, name):
     queries, oracles = load_queries()
