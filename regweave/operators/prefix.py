@@ -30,11 +30,13 @@ def resolve_entities(calls: DataFrame, call: str, table: DataFrame, clean_keys:
     ``table`` has ``key, is_exact, entity, number`` with unique ``(key, is_exact)``.
     An exact entry wins over any prefix, then the longest prefix wins.
     """
+    # Calls compress well, so by their bytes adaptive execution would merge all of them into one task.
+    tasks = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lengths = [r[0] for r in table.select(F.length("key")).distinct().collect()]  # few values
     if clean_keys:
         one = calls.select(F.col(call).alias("call"))
     else:
-        one = calls.select(F.upper(F.trim(F.col(call))).alias("call")).filter("call <> ''").distinct()
+        one = calls.select(F.upper(F.trim(F.col(call))).alias("call")).filter("call <> ''").repartition(tasks, "call").distinct()
     wanted = F.array_compact(
         F.array(
             *[
@@ -49,14 +51,16 @@ def resolve_entities(calls: DataFrame, call: str, table: DataFrame, clean_keys:
         F.col("is_exact") | _shape_ok(F.col("call"), F.col("key"))
     )
     best = F.max_by(F.struct("entity", "number"), F.struct(F.col("is_exact"), F.length("key")))
-    return hits.groupBy("call").agg(best.alias("_hit")).select("call", "_hit.*")
+    return hits.repartition(tasks, "call").groupBy("call").agg(best.alias("_hit")).select("call", "_hit.*")
 
 
 def apply_entities(records: DataFrame, table: DataFrame, clean_keys: bool = False) -> DataFrame:
     """Fill country and entity number.  No hit keeps the old values; a hit overwrites
     both, the number even with null."""
     found = resolve_entities(records, "callsign", table, clean_keys).withColumn("_matched", F.lit(True))
-    key = records["callsign"] if clean_keys else F.upper(F.trim(records["callsign"]))
+    key = F.col("callsign") if clean_keys else F.upper(F.trim("callsign"))
+    if not clean_keys:  # after a merge the records lie by callsign already
+        records = records.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.upper(F.trim("callsign")))
     joined = records.join(found, key == F.col("call"), "left")
     hit = F.col("_matched").isNotNull()
     return (
