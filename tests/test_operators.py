@@ -1,6 +1,7 @@
 """Operators on small fixtures, several of them against brute force in plain Python."""
 
 import json
+import math
 import random
 
 import pytest
@@ -191,6 +192,36 @@ def test_points_in_polygons_brute_force(spark, shapes):
     assert got == want and len(want) > 200
 
 
+def test_points_in_features_of_many_edges_and_the_smallest(spark):
+    rng = random.Random(4)
+    feats = []
+    for i in range(12):
+        n, cx, cy, r = (700, 0, 0, 30) if i == 0 else (rng.choice([3, 9, 40]), rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(2, 25))
+        feats.append((f"p{i:02d}", [(0, [(cx + r * rng.uniform(0.8, 1) * math.cos(2 * math.pi * k / n), cy + r * rng.uniform(0.8, 1) * math.sin(2 * math.pi * k / n)) for k in range(n)])]))
+    pts = [(i, rng.uniform(-32, 32), rng.uniform(-32, 32)) for i in range(1500)]
+    places, shapes = spark.createDataFrame(pts, "k int, lat double, lon double"), layer(spark, [feature(f, r) for f, r in feats])
+    cells = spatial.covers(shapes)
+    assert cells.filter("rise > 0").count() > 0 < cells.filter("full").count()
+    got = spatial.points_in_features(places, "k", shapes)
+    assert {tuple(r) for r in got.collect()} == {(k, f) for k, y, x in pts for f, rings in feats if inside(rings, x, y)}
+    best = {tuple(r) for r in spatial.smallest_feature(got, "k", shapes).collect()}
+    fewer = spatial.points_in_features(places, "k", shapes, keep=("area",), smallest=True)
+    assert {tuple(r) for r in spatial.smallest_feature(fewer, "k", shapes).collect()} == best and fewer.count() < got.count()
+
+
+def test_few_bytes_do_not_make_one_task(spark):
+    """The matched names, the grids and the calls are dealt to a given number of tasks."""
+    owners, groups = spark.createDataFrame([("a", "g")], "k string, group string"), spark.createDataFrame([("g", "high", ["AA00", "AA01"])], "group string, confidence string, grids array<string>")
+    out = spatial.grids_of(owners, groups, "k", "s")
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [("a", "AA00", "s", "high"), ("a", "AA01", "s", "high")]
+    table = spark.createDataFrame([("K", False, "US", 1)], "key string, is_exact boolean, entity string, number bigint")
+    calls = spark.createDataFrame([("k1a", None, None), ("X", "old", 2), (None, "none", None)], "callsign string, country string, dxcc bigint")
+    out = prefix.apply_entities(calls, table)
+    assert out._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
+    assert {tuple(r) for r in out.collect()} == {("k1a", "US", 1), ("X", "old", 2), (None, "none", None)}
+
+
 def test_cells_brute_force(spark, shapes):
     got = {}
     for r in spatial.cells_of_features(layer(spark, [feature(f, rr) for f, rr in shapes])).collect():
