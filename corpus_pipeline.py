@@ -68,10 +68,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = stored(rows.join(prints, "fp").join(sets, "node").select("doc_id", "node", "a", "b"))
     rows = rows.join(components(rows.select("a", "b").distinct()).withColumnRenamed("node", "a"), "a")
     groups = rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("component")), "root")
-    keepers = groups.filter(F.col("doc_id").eqNullSafe(F.col("component")))
-    keepers = keepers.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), F.col("root").alias("_root")).distinct()
-    rows = jaccard.with_node(docs, "_own").join(keepers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_node")))
-    first = F.row_number().over(Window.partitionBy("doc_id", "_root").orderBy("_own", F.xxhash64("text"), F.xxhash64(*docs.columns)))
+    keepers = groups.filter(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy("doc_id", "root").agg(F.min("node").alias("node"))
+    # One key for the join and the window, so that whole documents are shuffled once.
+    keepers = keepers.select(F.xxhash64("doc_id", "node").alias("_key")).distinct()
+    rows = jaccard.with_node(docs, "_own").withColumn("_key", F.xxhash64("doc_id", "_own")).join(keepers, "_key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns)))
     return rows.withColumn("_first", first).filter("_first = 1").select(docs.columns)
 
 

@@ -4,7 +4,8 @@ Shingles have one order for all texts.  Two texts at least ``percent`` similar s
 ``n - ceil(percent * n) + 1`` of each, so an equality join on these prefixes finds every pair; the sets of each
 candidate pair are then compared.  Shingles that are frequent in a sample of the texts come last in the order,
 which keeps them out of most prefixes; the order changes the work and not the links.  The parities of the
-shingles in 256 buckets bound the difference of two sets from below; pairs beyond it are not compared.
+shingles in 256 buckets bound the difference of two sets from below; pairs beyond it are not compared.  Those
+in twice as many buckets as a text has shingles leave hardly any other pair, so few texts are moved.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ WORDS, PERCENT = 5, 80
 #: One text in so many gives the frequent shingles: those in so many of its texts, at most so many of them.
 SAMPLED, FREQUENT, HELD = 32, 4, 200_000
 PARITIES = ("p0", "p1", "p2", "p3")
+#: Buckets of a sketch for each shingle, at least.
+LOAD = 2
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -42,6 +45,22 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(np.array(hashes, np.uint64).view(np.int64))
 
 
+def sketch(keys: np.ndarray) -> bytes:
+    """Parities of the shingles in buckets by their last bits: a power of two of buckets, ``LOAD`` a shingle and more."""
+    buckets = max(256, 1 << (LOAD * len(keys) - 1).bit_length())
+    return np.packbits(np.bincount(keys & (buckets - 1), minlength=buckets) & 1, bitorder="little").tobytes()
+
+
+def differing(one: bytes, other: bytes) -> int:
+    """Buckets of different parity in two sketches, the longer one folded; the sets differ in as many shingles or more."""
+    n = min(len(one), len(other))
+    bits = 0
+    for x in (one, other):
+        for at in range(0, len(x), n):
+            bits ^= int.from_bytes(x[at : at + n], "little")
+    return bits.bit_count()
+
+
 def with_node(docs: DataFrame, column: str, text: str = "text") -> DataFrame:
     """``docs`` with a hash of the lower-cased words of ``text`` in ``column``, which replaces one of that name."""
     docs = docs.drop(column)
@@ -67,10 +86,13 @@ def _frequent(texts: DataFrame, words: int) -> list[tuple[int, int]]:
 
 
 def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``key``, ``node``, ``size`` (distinct shingles of the text) and ``p0`` to ``p3`` (parities) of every shingle in a text's prefix."""
+    """``key``, ``node`` and ``size`` (distinct shingles of the text) of every shingle in a text's prefix.
+
+    The first row of each text has its ``p0`` to ``p3`` (parities) and ``sketch`` too; in the others they are null.
+    """
     known = sorted(_frequent(texts, words))
     held = texts.sparkSession.sparkContext.broadcast((np.array([k for k, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), *((p, pa.int64()) for p in PARITIES)])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), *((p, pa.int64()) for p in PARITIES), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = held.value
@@ -78,25 +100,46 @@ def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
             sets = [shingles(t, words) for t in each]
             sizes = np.array([len(s) for s in sets], np.int64)
             many = np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
+            some = sizes > 0
             odd = np.array([np.packbits(np.bincount(s & 255, minlength=256) & 1).view(np.int64) for s in sets]).reshape(-1, 4)
+            sketches = pa.array([sketch(s) for s in sets if len(s)], pa.binary())
             for i, s in enumerate(sets):
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
                     s = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
                 sets[i] = s[: many[i]]
             node = part.column("node").to_numpy()
+            # Row of a text for each row of the output, null but for the text's first.
+            own = np.zeros(many.sum(), np.int64)
+            own[(np.cumsum(many) - many)[some]] = np.arange(1, some.sum() + 1)
+            own = pa.array(own - 1, mask=own == 0)
             yield batch_of(schema, pa.array(np.concatenate(sets)), pa.array(np.repeat(node, many)), pa.array(np.repeat(sizes, many).astype(np.int32)),
-                           *[pa.array(np.repeat(p, many)) for p in odd.T])
+                           *[pa.array(p[some]).take(own) for p in odd.T], sketches.take(own))
 
-    return texts.select("node", "text").mapInArrow(run, "key bigint, node bigint, size int, " + ", ".join(f"{p} bigint" for p in PARITIES))
+    columns = ["key bigint", "node bigint", "size int", *(f"{p} bigint" for p in PARITIES), "sketch binary"]
+    return texts.select("node", "text").mapInArrow(run, ", ".join(columns))
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The ``a``-``b`` pairs that the parities of their nodes leave open."""
+def _with_both(pairs: DataFrame, nodes: DataFrame, columns: tuple) -> DataFrame:
+    """``a``-``b`` pairs with ``columns`` of both nodes, named after the side."""
     for x in "ab":
-        pairs = pairs.join(nodes.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("size", *PARITIES)]), x)
+        pairs = pairs.join(nodes.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}{x}") for c in columns]), x)
+    return pairs
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The ``a``-``b`` pairs that the sizes, parities and sketches of their nodes leave open."""
+    pairs = _with_both(pairs, nodes, ("size", *PARITIES)).filter(100 * F.least("sizea", "sizeb") >= percent * F.greatest("sizea", "sizeb"))
     differ = sum((F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in PARITIES), F.lit(0))
-    return pairs.filter((100 + percent) * differ <= (100 - percent) * (F.col("sizea") + F.col("sizeb"))).select("a", "b")
+    pairs = stored(pairs.filter((100 + percent) * differ <= (100 - percent) * (F.col("sizea") + F.col("sizeb"))).select("a", "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, ones in slices(batches, "sketcha"):
+            differ = np.array([differing(x, y.as_py()) for x, y in zip(ones, part.column("sketchb"))], np.int64)
+            both = part.column("sizea").to_numpy().astype(np.int64) + part.column("sizeb").to_numpy()
+            yield part.select(["a", "b"]).filter(pa.array((100 + percent) * differ <= (100 - percent) * both))
+
+    return _with_both(pairs, nodes, ("size", "sketch")).mapInArrow(run, "a bigint, b bigint")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -136,12 +179,10 @@ def links(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     near copies gives no square.
     """
     keyed = stored(prefixes(texts, words, percent))
-    nodes = stored(keyed.select("node", "size", *PARITIES).distinct())
-    first = keyed.groupBy("key").agg(F.min(F.struct("node", "size")).alias("first"), F.max("node").alias("last")).filter("first.node <> last").drop("last")
-    met = keyed.join(first, "key").select("key", "node", "size", F.col("first.node").alias("a"), F.col("first.size").alias("least"))
-    met = stored(met.distinct())
-    near = 100 * F.least("size", "least") >= percent * F.greatest("size", "least")
-    pairs = met.filter((F.col("node") != F.col("a")) & near).select("a", F.col("node").alias("b")).distinct()
+    nodes = stored(keyed.filter("sketch is not null").drop("key").distinct())
+    first = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last").drop("last")
+    met = stored(keyed.join(first, "key").select("key", "node", "size", "a").distinct())
+    pairs = met.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     stars = stored(similar(_possible(pairs, nodes, percent), texts, words, percent))
     roots = components(stars).withColumnRenamed("root", "_root")
     met = met.select("key", "node", "size", "a").join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))

@@ -116,6 +116,31 @@ def test_jaccard_groups_equal_brute_force(spark, edge, empty):
     assert sorted((str(c), n) for (_, c), n in groups.items()) == [("1", 2), ("2", 3), ("4", 1), ("6", 1), ("7", 1), ("None", 1)]
 
 
+def test_jaccard_moves_only_texts_that_can_be_near(spark, monkeypatch):
+    random.seed(4)
+    word = lambda n: [f"v{random.randrange(10**9)}" for _ in range(n)]
+    common = word(1500)
+    data = [common + word(n) for n in range(1500, 1512)]  # Jaccard a third; all meet in the common shingles
+    data += [data[0][:-100] + word(n) for n in (100, 300)]
+    sets = [jaccard.shingles(" ".join(w).encode()) for w in data]
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j)]
+    for i, j in pairs:
+        least = jaccard.differing(jaccard.sketch(sets[i]), jaccard.sketch(sets[j][: len(sets[j]) // (1 + (i + j) % 3)]))
+        assert least <= len(np.setxor1d(sets[i], sets[j][: len(sets[j]) // (1 + (i + j) % 3)]))
+    near = [(i, j) for i, j in pairs if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
+    moved = []
+
+    def similar(pairs, *rest, compare=jaccard.similar):
+        moved.extend(pairs.collect())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "similar", similar)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(data)], "doc_id bigint, text string")
+    got = {r.doc_id: r.component for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {i: 0 if i in (0, 12, 13) else i for i in range(len(data))}
+    assert near == [(0, 12), (0, 13), (12, 13)] and len(moved) <= len(near)
+
+
 @pytest.mark.parametrize("paired", [0, 64])
 def test_links_find_every_link_in_pairs_and_in_stars(spark, paired):
     rng = random.Random(5)
