@@ -61,18 +61,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents are linked by op1 (fingerprints of 3-word shingles at 2 or fewer differing bits) and, since it misses
     some of them, by an exact pass over all pairs with a 5-word Jaccard of 0.8 and more.  A group is what either links.
     """
-    texts = docs.select("doc_id", "text")
-    prints = simhash.near_duplicates(texts).select("fp", F.xxhash64(F.lit("print"), "root").alias("a")).distinct()
-    sets = jaccard.near_duplicates(texts).select("node", F.xxhash64(F.lit("set"), "root").alias("b")).distinct()
-    rows = jaccard.with_node(simhash.with_fingerprint(texts.withColumn("text", F.col("text").cast("string")), "fp"), "node").drop("text")
-    rows = stored(rows.join(prints, "fp").join(sets, "node").select("doc_id", "node", "a", "b"))
+    # Both passes name a text by a hash that Spark computes: neither is repeated to join them, and no document goes through Python for it.
+    texts = docs.select(F.xxhash64("text").alias("own"), "text")
+    prints = simhash.near_duplicates(texts, "own").select("own", F.xxhash64(F.lit("print"), "root").alias("a")).distinct()
+    sets = jaccard.near_duplicates(texts, "own").select("own", "node", F.xxhash64(F.lit("set"), "root").alias("b")).distinct()
+    rows = docs.groupBy(F.xxhash64("text").alias("own")).agg(F.min("doc_id").alias("least"))
+    rows = stored(rows.join(prints, "own").join(sets, "own"))
     rows = rows.join(components(rows.select("a", "b").distinct()).withColumnRenamed("node", "a"), "a")
-    groups = rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("component")), "root")
-    keepers = groups.filter(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy("doc_id", "root").agg(F.min("node").alias("node"))
+    groups = rows.join(rows.groupBy("root").agg(F.min("least").alias("component")), "root")
+    keepers = groups.filter(F.col("least").eqNullSafe(F.col("component"))).groupBy("root", "least").agg(F.min(F.struct("node", "own")).alias("first"))
     # One key for the join and the window, so that whole documents are shuffled once.
-    keepers = keepers.select(F.xxhash64("doc_id", "node").alias("_key")).distinct()
-    rows = jaccard.with_node(docs, "_own").withColumn("_key", F.xxhash64("doc_id", "_own")).join(keepers, "_key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns)))
+    keepers = keepers.select(F.xxhash64("least", "first.own").alias("_key")).distinct()
+    rows = docs.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text"))).join(keepers, "_key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns)))
     return rows.withColumn("_first", first).filter("_first = 1").select(docs.columns)
 
 

@@ -61,16 +61,21 @@ def differing(one: bytes, other: bytes) -> int:
     return bits.bit_count()
 
 
+def _nodes(texts: list[bytes]) -> pa.Array:
+    """A hash of the lower-cased words of each text."""
+    return pa.array(np.array([xxhash.xxh64_intdigest(b" ".join(t.lower().split())) for t in texts], np.uint64).view(np.int64))
+
+
 def with_node(docs: DataFrame, column: str, text: str = "text") -> DataFrame:
-    """``docs`` with a hash of the lower-cased words of ``text`` in ``column``, which replaces one of that name."""
+    """``docs`` with a hash of the lower-cased words of ``text`` in ``column`` and without ``text``, which Python does not give back."""
     docs = docs.drop(column)
+    kept = docs.drop(text).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, text, size=2_000_000):
-            nodes = np.array([xxhash.xxh64_intdigest(b" ".join(t.lower().split())) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes)], names=[*part.schema.names, column])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept.names), _nodes(texts)], names=[*kept.names, column])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{column}` bigint"]))
+    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{column}` bigint"]))
 
 
 def _frequent(texts: DataFrame, words: int) -> list[tuple[int, int]]:
@@ -96,7 +101,7 @@ def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = held.value
-        for part, each in slices(batches, "text", size=2_000_000):
+        for _, each in slices(batches, "text", size=2_000_000):
             sets = [shingles(t, words) for t in each]
             sizes = np.array([len(s) for s in sets], np.int64)
             many = np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
@@ -108,7 +113,7 @@ def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
                     at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
                     s = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
                 sets[i] = s[: many[i]]
-            node = part.column("node").to_numpy()
+            node = _nodes(each).to_numpy()
             # Row of a text for each row of the output, null but for the text's first.
             own = np.zeros(many.sum(), np.int64)
             own[(np.cumsum(many) - many)[some]] = np.arange(1, some.sum() + 1)
@@ -117,7 +122,7 @@ def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
                            *[pa.array(p[some]).take(own) for p in odd.T], sketches.take(own))
 
     columns = ["key bigint", "node bigint", "size int", *(f"{p} bigint" for p in PARITIES), "sketch binary"]
-    return texts.select("node", "text").mapInArrow(run, ", ".join(columns))
+    return texts.select("text").mapInArrow(run, ", ".join(columns))
 
 
 def _with_both(pairs: DataFrame, nodes: DataFrame, columns: tuple) -> DataFrame:
@@ -142,11 +147,15 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return _with_both(pairs, nodes, ("size", "sketch")).mapInArrow(run, "a bigint, b bigint")
 
 
-def similar(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The ``a``-``b`` pairs whose shingle sets are at least ``percent`` similar; only texts of pairs are moved."""
+def similar(pairs: DataFrame, texts: DataFrame, named: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The ``a``-``b`` pairs whose shingle sets are at least ``percent`` similar; only one text of each of their nodes is moved.
+
+    ``texts`` has ``key`` and ``text``, ``named`` the ``key`` and ``node`` of every text.
+    """
     pairs = stored(pairs)
-    need = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    texts = stored(texts.join(need, "node").groupBy("node").agg(F.first("text").alias("text")))
+    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    need = stored(named.join(need, "node").groupBy("node").agg(F.min("key").alias("key")))
+    texts = stored(texts.join(need, "key").groupBy("node").agg(F.first("text").alias("text")))
     rows = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     rows = rows.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
@@ -171,10 +180,10 @@ def similar(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: int
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def links(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def links(texts: DataFrame, named: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Edges ``a``-``b`` whose components are those of all pairs of ``node`` at least ``percent`` similar.
 
-    A node may have several rows.  Every edge is a link.  The texts of a prefix shingle are first compared with
+    ``texts`` and ``named`` are those of ``similar``; a node may have several rows in both.  Every edge is a link.  The texts of a prefix shingle are first compared with
     the smallest of them, and in pairs only where that has left them in different components, so a group of
     near copies gives no square.
     """
@@ -183,7 +192,7 @@ def links(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     first = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last").drop("last")
     met = stored(keyed.join(first, "key").select("key", "node", "size", "a").distinct())
     pairs = met.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    stars = stored(similar(_possible(pairs, nodes, percent), texts, words, percent))
+    stars = stored(similar(_possible(pairs, nodes, percent), texts, named, words, percent))
     roots = components(stars).withColumnRenamed("root", "_root")
     met = met.select("key", "node", "size", "a").join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
     apart = met.groupBy("key").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).filter("lo <> hi").select("key")
@@ -191,7 +200,7 @@ def links(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     left = stored(met.filter("node <> a").select("key", "node", "size", "_root").join(apart, "key"))
     one, other = (left.select("key", F.col("node").alias(x), F.col("size").alias(f"s{x}"), F.col("_root").alias(f"r{x}")) for x in "ab")
     pairs = one.join(other, "key").filter("a < b and ra <> rb").filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb"))
-    return stars.unionByName(similar(_possible(pairs.select("a", "b").distinct(), nodes, percent), texts, words, percent))
+    return stars.unionByName(similar(_possible(pairs.select("a", "b").distinct(), nodes, percent), texts, named, words, percent))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -200,9 +209,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     Texts with the same words are one node, null and empty texts among them; a null id is never the smallest
     unless all are null; repeated rows are kept; other columns are not read; an empty table gives an empty table.
     """
-    rows = with_node(docs.select(F.col(id), F.col(text).cast("string").alias("text")), "node")
-    nodes = stored(rows.groupBy("node").agg(F.min(id).alias("_least")))
-    roots = components(links(rows.select("node", "text"), words, percent))
+    texts = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
+    # Rows go through Python once for their nodes; from here on texts are told apart by a hash that Spark computes.
+    rows = stored(with_node(texts, "node"))
+    nodes = stored(rows.groupBy("node").agg(F.min("_id").alias("_least")))
+    roots = components(links(texts.select("key", "text"), rows.select("key", "node"), words, percent))
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = labelled.groupBy("root").agg(F.min("_least").alias("component"))
-    return rows.drop("text").join(labelled.select("node", "root"), "node").join(classes, "root").select(id, "node", "root", "component")
+    return rows.join(labelled.select("node", "root"), "node").join(classes, "root").select(F.col("_id").alias(id), "node", "root", "component")

@@ -48,19 +48,14 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
     """``id`` and ``fp`` (the 64 bits as a signed long) of every row; null and empty texts have fingerprint 0."""
-    return with_fingerprint(docs.select(F.col(id), F.col(text).cast("string").alias("_text")), "fp", "_text", words, seed).drop("_text")
-
-
-def with_fingerprint(docs: DataFrame, column: str, text: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` with the fingerprint in ``column``, which replaces one of that name."""
-    docs = docs.drop(column)
+    docs = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, text):
+        for part, texts in slices(batches, "_text", size=2_000_000):
             prints = np.array([fingerprint(t, words, seed) for t in texts], np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints)], names=[*part.schema.names, column])
+            yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(prints)], names=["_id", "fp"])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{column}` bigint"]))
+    return docs.mapInArrow(run, f"_id {docs.schema['_id'].dataType.simpleString()}, fp bigint").withColumnRenamed("_id", id)
 
 
 def _signed(bits: int) -> int:
@@ -95,6 +90,8 @@ def links(prints: DataFrame, k: int = 2, paired: int = PAIRED) -> DataFrame:
     Every edge is a link; a link that is not an edge itself has both ends on one star of links.
     """
     kinds = variants(k)
+    # Every print becomes many rows with keys of their own: it takes many tasks, however small the files of prints are.
+    prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     index = _explode_masked(prints, [s & ~(1 << b) if b is not None else s for s, b in kinds])
     # A variant with a wiped bit joins those that have the bit with those that do not; equal segments meet
     # in the variant without one.

@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -66,6 +67,21 @@ def test_near_duplicates_are_what_op1_or_the_exact_pass_links(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [1, 3, 5, 6]
 
 
+def test_near_duplicates_give_no_text_back_and_feed_no_worker_from_another(spark, monkeypatch):
+    plans = []
+
+    def recorded(frame, run, schema, *rest, call=DataFrame.mapInArrow):
+        out = call(frame, run, schema, *rest)
+        plans.append((frame._jdf.queryExecution().analyzed().toString().count("MapInArrow"), [c for c in out.columns if "text" in c]))
+        return out
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", recorded)
+    rows = [(i, f"{'shared words of two texts ' * 9} {i // 2} " + "more of them", "x") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())[0] == 0
+    assert plans and all(plan == (0, []) for plan in plans)
+
+
 @pytest.mark.parametrize("name", sorted(load_queries()[1]))
 def test_sql_gives_the_same_rows(spark, name):
     queries, oracles = load_queries()
