@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regweave.llm.batches import batch_of, slices
@@ -91,13 +91,13 @@ def _frequent(texts: DataFrame, words: int) -> list[tuple[int, int]]:
 
 
 def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``key``, ``node`` and ``size`` (distinct shingles of the text) of every shingle in a text's prefix.
+    """``key``, ``node``, ``size`` (distinct shingles of the text) and ``at`` (place in their order) of every shingle in a text's prefix.
 
     The first row of each text has its ``p0`` to ``p3`` (parities) and ``sketch`` too; in the others they are null.
     """
     known = sorted(_frequent(texts, words))
     held = texts.sparkSession.sparkContext.broadcast((np.array([k for k, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), *((p, pa.int64()) for p in PARITIES), ("sketch", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), *((p, pa.int64()) for p in PARITIES), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = held.value
@@ -118,10 +118,11 @@ def prefixes(texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
             own = np.zeros(many.sum(), np.int64)
             own[(np.cumsum(many) - many)[some]] = np.arange(1, some.sum() + 1)
             own = pa.array(own - 1, mask=own == 0)
-            yield batch_of(schema, pa.array(np.concatenate(sets)), pa.array(np.repeat(node, many)), pa.array(np.repeat(sizes, many).astype(np.int32)),
+            places = pa.array((np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)).astype(np.int32))
+            yield batch_of(schema, pa.array(np.concatenate(sets)), pa.array(np.repeat(node, many)), pa.array(np.repeat(sizes, many).astype(np.int32)), places,
                            *[pa.array(p[some]).take(own) for p in odd.T], sketches.take(own))
 
-    columns = ["key bigint", "node bigint", "size int", *(f"{p} bigint" for p in PARITIES), "sketch binary"]
+    columns = ["key bigint", "node bigint", "size int", "at int", *(f"{p} bigint" for p in PARITIES), "sketch binary"]
     return texts.select("text").mapInArrow(run, ", ".join(columns))
 
 
@@ -132,11 +133,16 @@ def _with_both(pairs: DataFrame, nodes: DataFrame, columns: tuple) -> DataFrame:
     return pairs
 
 
+def _even(percent: int) -> Column:
+    """Whether sizes and parities of both sides leave a pair open."""
+    differ = sum((F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in PARITIES), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (F.col("sizea") + F.col("sizeb"))
+
+
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The ``a``-``b`` pairs that the sizes, parities and sketches of their nodes leave open."""
     pairs = _with_both(pairs, nodes, ("size", *PARITIES)).filter(100 * F.least("sizea", "sizeb") >= percent * F.greatest("sizea", "sizeb"))
-    differ = sum((F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in PARITIES), F.lit(0))
-    pairs = stored(pairs.filter((100 + percent) * differ <= (100 - percent) * (F.col("sizea") + F.col("sizeb"))).select("a", "b"))
+    pairs = stored(pairs.filter(_even(percent)).select("a", "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, ones in slices(batches, "sketcha"):
@@ -180,27 +186,42 @@ def similar(pairs: DataFrame, texts: DataFrame, named: DataFrame, words: int = W
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def _apart(met: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows of ``met`` whose ``key`` holds nodes of several components of ``edges``, with ``_root``."""
+    met = met.join(components(edges).withColumnRenamed("root", "_root"), "node", "left").withColumn("_root", F.coalesce("_root", "node"))
+    apart = met.groupBy("key").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).filter("lo <> hi").select("key")
+    return stored(met.join(apart, "key"))
+
+
+def _meeting(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
+    """``a``-``b`` pairs of different components that meet in a ``key`` which can be the first that a similar pair shares.
+
+    Such a pair shares no shingle before that one, so all that it shares lies from there on in both orders.
+    """
+    one, other = (x.select("key", *[F.col(c).alias(f"{c}{y}") for c in ("node", "size", "at", "_root", *PARITIES)]) for x, y in ((one, "a"), (other, "b")))
+    rest = F.least(F.col("sizea") - F.col("ata"), F.col("sizeb") - F.col("atb"))
+    met = one.join(other, "key").filter("_roota <> _rootb").filter(100 * F.least("sizea", "sizeb") >= percent * F.greatest("sizea", "sizeb"))
+    met = met.filter((100 + percent) * rest >= percent * (F.col("sizea") + F.col("sizeb"))).filter(_even(percent))
+    return met.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
+
+
 def links(texts: DataFrame, named: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Edges ``a``-``b`` whose components are those of all pairs of ``node`` at least ``percent`` similar.
 
     ``texts`` and ``named`` are those of ``similar``; a node may have several rows in both.  Every edge is a link.  The texts of a prefix shingle are first compared with
-    the smallest of them, and in pairs only where that has left them in different components, so a group of
-    near copies gives no square.
+    the smallest of them, and in pairs only where that has left them in different components and the shingle can be
+    the first that both share, so a group of near copies gives no square.
     """
     keyed = stored(prefixes(texts, words, percent))
-    nodes = stored(keyed.filter("sketch is not null").drop("key").distinct())
+    nodes = stored(keyed.filter("sketch is not null").drop("key", "at").distinct())
     first = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last").drop("last")
-    met = stored(keyed.join(first, "key").select("key", "node", "size", "a").distinct())
+    met = stored(keyed.join(first, "key").select("key", "node", "size", "at", "a").distinct())
     pairs = met.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     stars = stored(similar(_possible(pairs, nodes, percent), texts, named, words, percent))
-    roots = components(stars).withColumnRenamed("root", "_root")
-    met = met.select("key", "node", "size", "a").join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
-    apart = met.groupBy("key").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).filter("lo <> hi").select("key")
     # The smallest of a shingle has been compared with the others.
-    left = stored(met.filter("node <> a").select("key", "node", "size", "_root").join(apart, "key"))
-    one, other = (left.select("key", F.col("node").alias(x), F.col("size").alias(f"s{x}"), F.col("_root").alias(f"r{x}")) for x in "ab")
-    pairs = one.join(other, "key").filter("a < b and ra <> rb").filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb"))
-    return stars.unionByName(similar(_possible(pairs.select("a", "b").distinct(), nodes, percent), texts, named, words, percent))
+    left = _apart(met.filter("node <> a").drop("a").join(nodes.select("node", *PARITIES), "node"), stars)
+    pairs = _meeting(left, left, percent).filter("a < b").distinct()
+    return stars.unionByName(similar(_possible(pairs, nodes, percent), texts, named, words, percent))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

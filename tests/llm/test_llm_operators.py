@@ -141,6 +141,27 @@ def test_jaccard_moves_only_texts_that_can_be_near(spark, monkeypatch):
     assert near == [(0, 12), (0, 13), (12, 13)] and len(moved) <= len(near)
 
 
+def test_jaccard_pairs_of_a_common_passage_are_not_formed(spark, monkeypatch):
+    random.seed(6)
+    word = lambda n: [f"u{random.randrange(10**9)}" for _ in range(n)]
+    passage = word(30)
+    data = [word(random.randrange(80)) + passage + word(60) for _ in range(60)]
+    data += [d[:-4] + word(4) for d in data[:10]]
+    sets = [set(jaccard.shingles(" ".join(w).encode()).tolist()) for w in data]
+    near = {(i, j) for j in range(70) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    formed = []
+
+    def possible(pairs, *rest, compare=jaccard._possible):
+        formed.append(pairs.count())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_possible", possible)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(data)], "doc_id bigint, text string")
+    got = {r.doc_id: r.component for r in jaccard.near_duplicates(docs).collect()}
+    assert near == {(i, 60 + i) for i in range(10)} and got == {i: i - 60 if i >= 60 else i for i in range(70)}
+    assert formed[-1] <= len(near)
+
+
 @pytest.mark.parametrize("paired", [0, 64])
 def test_links_find_every_link_in_pairs_and_in_stars(spark, paired):
     rng = random.Random(5)
