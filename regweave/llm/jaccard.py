@@ -208,9 +208,9 @@ def _meeting(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
 def links(texts: DataFrame, named: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Edges ``a``-``b`` whose components are those of all pairs of ``node`` at least ``percent`` similar.
 
-    ``texts`` and ``named`` are those of ``similar``; a node may have several rows in both.  Every edge is a link.  The texts of a prefix shingle are first compared with
-    the smallest of them, and in pairs only where that has left them in different components and the shingle can be
-    the first that both share, so a group of near copies gives no square.
+    ``texts`` and ``named`` are those of ``similar``; a node may have several rows in both.  Every edge is a link.
+    The texts of a prefix shingle are first compared with the smallest of them, and in pairs only where that has left
+    them in different components and the shingle can be the first that both share, so near copies give no square.
     """
     keyed = stored(prefixes(texts, words, percent))
     nodes = stored(keyed.filter("sketch is not null").drop("key", "at").distinct())
