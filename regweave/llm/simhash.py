@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from regweave.llm.batches import slices
 from regweave.llm.catalog import query
 from regweave.llm.components import components
-from regweave.session import stored
+from regweave.session import stored, unsized
 
 #: Members of a variant from which on pairs are not formed; both ways find the same links.
 PAIRED = 64
@@ -100,7 +100,7 @@ def links(prints: DataFrame, k: int = 2, paired: int = PAIRED) -> DataFrame:
     whole = F.array(*[F.lit(b is None) for _, b in kinds])
     sizes = index.groupBy("v", "key").agg(F.count("*").alias("n"), F.sum(F.col("has").cast("int")).alias("n1"))
     sizes = sizes.filter(F.when(F.element_at(whole, F.col("v") + 1), F.col("n") > 1).otherwise((F.col("n1") > 0) & (F.col("n1") < F.col("n"))))
-    met = stored(index.join(sizes, ["v", "key"]).select("v", "key", "fp", "has", "n"))
+    met = stored(unsized(index).join(sizes, ["v", "key"]).select("v", "key", "fp", "has", "n"))
     few = met.filter(F.col("n") <= paired)
     one, other = few.select("v", "key", F.col("fp").alias("a"), F.col("has").alias("ha")), few.select("v", "key", F.col("fp").alias("b"), F.col("has").alias("hb"))
     is_whole = F.element_at(whole, F.col("v") + 1)
@@ -121,7 +121,7 @@ def _stars(many: DataFrame, kinds: list[tuple[int, int | None]], k: int) -> Data
             members = many.filter(F.col("v").isin(picked)).select(F.col("v").alias("v0"), F.col("key").alias("k0"), "fp")
             keyed = _explode_masked(members, masks)
             centre = keyed.groupBy("v0", "k0", "v", "key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-            edges = keyed.join(centre, ["v0", "k0", "v", "key"]).filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+            edges = unsized(keyed).join(centre, ["v0", "k0", "v", "key"]).filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
             out = edges if out is None else out.unionByName(edges)
     return out
 

@@ -16,6 +16,7 @@ import corpus_pipeline
 from regweave.llm import bpe, dac, decontam, jaccard, langid, quality, shards, simhash, suffixes, templates, units
 from regweave.llm.batches import parts_of
 from regweave.llm.components import components
+from regweave.session import stored
 
 SF = "/root/testdata/sf0.001"
 LONG = "abcé" * 6000
@@ -82,6 +83,23 @@ def test_simhash_equals_brute_force(docs, texts):
     assert got == {d: (int(p), min(least[r])) for (d, _), p, r in zip(texts, prints, roots)}
 
 
+def test_exploded_prints_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes them as if each print were still one row, and would take them through the driver."""
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    close = spark.range(40).select((F.xxhash64(F.lit(1)).bitwiseXOR(F.expr("shiftleft(1L, int(id))"))).alias("fp"))
+    found = simhash.links(spark.range(300).select(F.xxhash64("id").alias("fp")).union(close), paired=8)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and all("Generate" in p for p in plans)
+    assert "BroadcastHashJoin" not in plans[0] and "HashJoin [v0" not in plans[1]
+    assert components(found).count() == 40
+
+
 def test_jaccard_groups_equal_brute_force(spark, edge, empty):
     random.seed(3)
     words = [f"w{i}" for i in range(400)]
