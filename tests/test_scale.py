@@ -147,3 +147,20 @@ def test_a_look_up_reads_one_row_group(spark, tmp_path):
         assert [r.id for r in found.collect()] == [777] and scanned(found) <= 1.5 * 200_000 / groups
     absent = table.filter(F.col("name") == "0" * 32)
     assert absent.collect() == [] and scanned(absent) <= 1.5 * 200_000 / groups
+
+
+def test_exploded_rows_and_packed_grids_are_not_broadcast(spark):
+    """Probes of points and lists of grids are far larger than Spark sizes them; they must not pass through the driver."""
+    from regweave.operators import spatial
+
+    ring = [(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]
+    shapes = spark.createDataFrame([("f", "Range 1", None, {}, [(0, ring)])], "feature_id string, unit_name string, local_name string, "
+                                   "tags map<string,string>, rings array<struct<part:int,ring:array<struct<lon:double,lat:double>>>>")
+    points = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("Range 1").alias("name"), F.lit(4.0).alias("lat"), (F.col("id") / 5).alias("lon"))
+    found = spatial.points_in_features(points, "k", shapes)
+    assert "BroadcastHashJoin [level" not in explain(found) and "Generate" in explain(found)
+    assert found.count() == 41
+    owners, groups = spatial.matched_sets(points, "k", shapes)
+    grids = spatial.grids_of(owners, groups, "k", "s")
+    assert "BroadcastHashJoin" not in explain(grids)
+    assert {tuple(r) for r in grids.groupBy("k").agg(F.count("*")).collect()} == {(str(i), 32) for i in range(41)}
