@@ -92,3 +92,16 @@ def test_sql_gives_the_same_rows(spark, name):
     columns = [d[0] for d in want.description]
     rows = queries[name](spark, SF).select(columns).collect()
     assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want.fetchall()))
+
+
+def test_near_duplicates_broadcasts_no_exploded_prints(spark, monkeypatch):
+    plans, stored = [], simhash.stored
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    docs = spark.createDataFrame([(i, f"one two three four five six {i}") for i in range(30)], "doc_id bigint, text string")
+    assert 0 < corpus_pipeline.near_duplicates(spark, docs, SF).count() <= 30
+    assert any("Generate" in p for p in plans) and not any("BroadcastHashJoin [v" in p for p in plans)
